@@ -10,24 +10,18 @@ from functools import reduce
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import (
-    CountVectorizerModel,
-    ElementwiseProduct,
-    IndexToString,
-    Normalizer,
-    StringIndexerModel,
-)
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.feature import IndexToString, StringIndexerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caselake.operators.features import (
     MAX_FEATURES,
     MIN_DF,
-    idf,
+    collect_vocabulary,
+    learn_vocabulary,
     term_counts,
     term_stages,
-    top_terms,
+    tfidf_stages,
     with_terms,
 )
 from caselake.operators.metrics import macro_f1, mean_ci
@@ -38,6 +32,9 @@ from caselake.session import bounded, written
 C = 1.0
 MAX_ITER = 1000
 
+# Every task returns a whole gradient per iteration, so it should see this many rows.
+ROWS_PER_TASK = 5_000
+
 
 @dataclass(frozen=True)
 class TextModelSpec:
@@ -61,24 +58,20 @@ def class_weights(df: DataFrame, label: str = "product") -> DataFrame:
     )
 
 
-def _fit_terms(train: DataFrame, vocabulary: DataFrame, spec: TextModelSpec) -> PipelineModel:
-    """Fit on rows that carry ``terms``, given their vocabulary (term, idf), most frequent first.
+def _fit_terms(
+    train: DataFrame, vocabulary: Sequence[tuple[str, float]], spec: TextModelSpec
+) -> PipelineModel:
+    """Fit on rows that carry ``terms``, given their vocabulary.
 
-    The vocabulary has at most ``max_features`` rows and becomes part of the
+    The vocabulary has at most ``max_features`` entries and becomes part of the
     model; the optimiser's gradients are tree-aggregated by Spark ML.
     """
-    learned = vocabulary.select("term", "idf").collect()
-    if not learned:
+    if not vocabulary:
         raise ValueError(f"no term occurs in {spec.min_df} or more documents")
     weights = class_weights(train, spec.label)
     classes = sorted((r[spec.label], r["n"]) for r in weights.collect())
     labels, rows = [name for name, _ in classes], sum(n for _, n in classes)
-    features = [
-        CountVectorizerModel.from_vocabulary([r["term"] for r in learned], "terms", "_tf"),
-        ElementwiseProduct(scalingVec=Vectors.dense([r["idf"] for r in learned]),
-                           inputCol="_tf", outputCol="_tfidf"),
-        Normalizer(p=2.0, inputCol="_tfidf", outputCol="features"),
-    ]
+    features = tfidf_stages(vocabulary)
     weighted = train.select("terms", spec.label).join(
         bounded(weights.select(spec.label, "weight")), spec.label
     )
@@ -90,7 +83,7 @@ def _fit_terms(train: DataFrame, vocabulary: DataFrame, spec: TextModelSpec) ->
         family="multinomial", featuresCol="features", labelCol="_label", weightCol="weight",
         predictionCol="_prediction", elasticNetParam=0.0, standardization=False,
         regParam=1.0 / (spec.c * rows), maxIter=spec.max_iter,
-    ).fit(ready.select("features", "_label", "weight"))
+    ).fit(ready.select("features", "_label", "weight").coalesce(max(1, rows // ROWS_PER_TASK)))
     names = IndexToString(inputCol="_prediction", outputCol="baseline_pred", labels=labels)
     return PipelineModel([*features, regression, names])
 
@@ -98,10 +91,7 @@ def _fit_terms(train: DataFrame, vocabulary: DataFrame, spec: TextModelSpec) ->
 def fit_classifier(train: DataFrame, spec: TextModelSpec = TextModelSpec()) -> PipelineModel:
     """The whole text-to-label model; vocabulary and weights come from ``train`` only."""
     termed = with_terms(train.select(spec.text, spec.label), spec.text, spec.stop_words)
-    n_docs = termed.agg(F.count(F.lit(1))).scalar()
-    vocabulary = top_terms(term_counts(termed), spec.min_df, spec.max_features).select(
-        "term", "tf", idf(n_docs, F.col("df")).alias("idf")
-    ).orderBy(F.desc("tf"), "term")
+    vocabulary = learn_vocabulary(termed, spec.min_df, spec.max_features)
     fitted = _fit_terms(termed, vocabulary, spec)
     return PipelineModel([*term_stages(spec.text, spec.stop_words), *fitted.stages])
 
@@ -127,7 +117,7 @@ def load_model(path: str) -> PipelineModel:
 
 def cross_validate(
     train: DataFrame, spec: TextModelSpec = TextModelSpec(), id_col: str = "complaint_id",
-    folds: int = FOLDS, repeats: int = REPEATS, seed: int = SEED, parallelism: int = 4,
+    folds: int = FOLDS, repeats: int = REPEATS, seed: int = SEED, parallelism: int = 8,
 ) -> DataFrame:
     """Macro-F1 of every (repeat, fold), the model refitted from its vocabulary up.
 
@@ -161,9 +151,7 @@ def cross_validate(
             (F.col("df") - F.col(f"df_{fold}_{i}")).alias("df"),
         )
         n_docs = fitting.agg(F.count(F.lit(1))).scalar()
-        vocabulary = top_terms(outside, spec.min_df, spec.max_features).select(
-            "term", "tf", idf(n_docs, F.col("df")).alias("idf")
-        ).orderBy(F.desc("tf"), "term")
+        vocabulary = collect_vocabulary(outside, n_docs, spec.min_df, spec.max_features)
         model = _fit_terms(fitting, vocabulary, spec)
         return model.transform(termed.filter(F.col(fold) == i)).select(
             F.lit(int(fold.removeprefix("fold_"))).alias("repeat"), F.lit(i).alias("fold"),

@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import NGram, RegexTokenizer, SQLTransformer, StopWordsRemover
+from pyspark.ml.feature import (
+    CountVectorizerModel,
+    ElementwiseProduct,
+    NGram,
+    Normalizer,
+    RegexTokenizer,
+    SQLTransformer,
+    StopWordsRemover,
+)
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caselake.session import bounded
-
 # Shape of the text features.
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"
 MIN_DF = 3
@@ -49,19 +56,24 @@ def term_counts(
 ) -> DataFrame:
     """Sums per term over its occurrences (tf = 1) and the rows that hold it (df = 1).
 
-    Both come from one explode of the row itself, so the only shuffle is by term,
-    after combining inside each task; the words of one text need not meet again.
-    Without ``sums`` the result has the totals ``tf`` and ``df``.
+    Every row lists its terms and then its different terms, so both counts come
+    from one explode and the only shuffle is by term, after combining inside each
+    task. The outer form of the explode keeps Spark from tokenising every text
+    once more to test for emptiness. Without ``sums`` the result has the totals
+    ``tf`` and ``df``.
     """
-
-    def marked(array: Column, tf: int, df: int) -> Column:
-        return F.transform(
-            array, lambda t: F.struct(t.alias("term"), F.lit(tf).alias("tf"), F.lit(df).alias("df"))
-        )
-
-    tokens = F.concat(marked(F.col(terms), 1, 0), marked(F.array_distinct(F.col(terms)), 0, 1))
-    rows = df.select(*keep, F.explode(tokens).alias("t")).select(*keep, "t.*")
-    return rows.groupBy("term").agg(*(sums or [F.sum("tf").alias("tf"), F.sum("df").alias("df")]))
+    listed = df.select(
+        *keep, F.size(terms).alias("n"),
+        F.concat(F.col(terms), F.array_distinct(F.col(terms))).alias("tokens"),
+    )
+    first_part = F.col("pos") < F.col("n")
+    tokens = (
+        listed.select(*keep, "n", F.posexplode_outer("tokens").alias("pos", "term"))
+        .filter(F.col("term").isNotNull())
+        .select(*keep, "term", F.when(first_part, 1).otherwise(0).alias("tf"),
+                F.when(first_part, 0).otherwise(1).alias("df"))
+    )
+    return tokens.groupBy("term").agg(*(sums or [F.sum("tf").alias("tf"), F.sum("df").alias("df")]))
 
 
 def top_terms(
@@ -76,24 +88,54 @@ def idf(n_docs: Column, doc_freq: Column) -> Column:
     return F.log((n_docs + 1) / (doc_freq + 1)) + 1
 
 
+def learn_vocabulary(
+    termed: DataFrame, min_df: int = MIN_DF, max_features: int = MAX_FEATURES
+) -> list[tuple[str, float]]:
+    """(term, idf), most frequent term first: at most ``max_features`` pairs."""
+    n_docs = termed.agg(F.count(F.lit(1))).scalar()
+    return collect_vocabulary(term_counts(termed), n_docs, min_df, max_features)
+
+
+def collect_vocabulary(
+    counts: DataFrame, n_docs: Column, min_df: int, max_features: int
+) -> list[tuple[str, float]]:
+    ranked = top_terms(counts, min_df, max_features).select("term", idf(n_docs, F.col("df")).alias("idf"))
+    return [(row["term"], row["idf"]) for row in ranked.collect()]
+
+
+def tfidf_stages(vocabulary: Sequence[tuple[str, float]], terms: str = "terms") -> list:
+    """Stages from ``terms`` to the unit-length vector ``features``, all row by row."""
+    return [
+        CountVectorizerModel.from_vocabulary([term for term, _ in vocabulary], terms, "_tf"),
+        ElementwiseProduct(scalingVec=Vectors.dense([weight for _, weight in vocabulary]),
+                           inputCol="_tf", outputCol="_tfidf"),
+        Normalizer(p=2.0, inputCol="_tfidf", outputCol="features"),
+    ]
+
+
 def tfidf_terms(
     df: DataFrame, id_col: str = "complaint_id", terms: str = "terms",
     min_df: int = MIN_DF, max_features: int = MAX_FEATURES,
 ) -> DataFrame:
-    """(id, term, tf, weight) with weights of unit length per document."""
-    n_docs = df.agg(F.count(F.lit(1))).scalar()
-    vocabulary = top_terms(term_counts(df, terms=terms), min_df, max_features)
-    vocabulary = bounded(
-        vocabulary.select("term", idf(n_docs, F.col("df")).alias("idf")), max_features
+    """(id, term, tf, weight) with weights of unit length per document.
+
+    Lists the entries of the vectors the classifier learns from. Once the
+    vocabulary is known nothing is shuffled.
+    """
+    vocabulary = learn_vocabulary(df.select(F.col(terms).alias("terms")), min_df, max_features)
+    vectors = df.select(id_col, terms)
+    for stage in tfidf_stages(vocabulary, terms):
+        vectors = stage.transform(vectors)
+    counts, weights = F.unwrap_udt("_tf"), F.unwrap_udt("features")
+    entries = F.arrays_zip(
+        weights["indices"].alias("at"), counts["values"].alias("tf"), weights["values"].alias("weight")
     )
-    weighted = (
-        df.select(id_col, F.explode(terms).alias("term"))
-        .groupBy(id_col, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-        .join(vocabulary, "term")
-        .withColumn("raw", F.col("tf") * F.col("idf"))
+    names = df.sparkSession.createDataFrame(
+        [(at, term) for at, (term, _) in enumerate(vocabulary)], "at int, term string"
     )
-    lengths = weighted.groupBy(id_col).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return weighted.join(lengths, id_col).select(
-        id_col, "term", "tf", (F.col("raw") / F.col("norm")).alias("weight")
+    rows = vectors.select(id_col, entries.alias("entries")).select(id_col, F.inline_outer("entries"))
+    return (
+        rows.filter(F.col("at").isNotNull())
+        .join(names, "at")
+        .select(id_col, "term", F.col("tf").cast("bigint").alias("tf"), "weight")
     )
