@@ -68,12 +68,12 @@ def _fit_terms(
     """
     if not vocabulary:
         raise ValueError(f"no term occurs in {spec.min_df} or more documents")
-    weights = class_weights(train, spec.label)
+    weights = bounded(class_weights(train, spec.label))
     classes = sorted((r[spec.label], r["n"]) for r in weights.collect())
     labels, rows = [name for name, _ in classes], sum(n for _, n in classes)
     features = tfidf_stages(vocabulary)
     weighted = train.select("terms", spec.label).join(
-        bounded(weights.select(spec.label, "weight")), spec.label
+        weights.select(spec.label, "weight"), spec.label
     )
     indexer = StringIndexerModel.from_labels(labels, inputCol=spec.label, outputCol="_label")
     ready = PipelineModel([*features, indexer]).transform(weighted)

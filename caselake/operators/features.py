@@ -130,9 +130,10 @@ def tfidf_terms(
     entries = F.arrays_zip(
         weights["indices"].alias("at"), counts["values"].alias("tf"), weights["values"].alias("weight")
     )
-    names = df.sparkSession.createDataFrame(
+    # At most max_features rows, and already part of the model above.
+    names = F.broadcast(df.sparkSession.createDataFrame(
         [(at, term) for at, (term, _) in enumerate(vocabulary)], "at int, term string"
-    )
+    ))
     rows = vectors.select(id_col, entries.alias("entries")).select(id_col, F.inline_outer("entries"))
     return (
         rows.filter(F.col("at").isNotNull())

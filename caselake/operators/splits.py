@@ -105,15 +105,15 @@ def _cuts(df: DataFrame, ranks: DataFrame, id_col: str, label: str, seeds: Mappi
     at = bounded(
         histogram.join(wanted, "label")
         .filter((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("upto")))
-        .select("name", "label", "prefix", "before", "rank")
+        .groupBy("name", "label", "prefix")
+        .agg(F.first("before").alias("before"), F.collect_list("rank").alias("ranks"))
     )
-    prefixes = at.select("name", "label", "prefix").distinct()
-    position = F.row_number().over(Window.partitionBy("name", "label", "prefix").orderBy("h", "id"))
+    in_prefix = Window.partitionBy("name", "label", "prefix").orderBy("h", "id")
+    rank = F.col("before") + F.row_number().over(in_prefix)
     found = (
-        keyed.join(prefixes, ["name", "label", "prefix"], "left_semi")
-        .withColumn("position", position)
-        .join(at, ["name", "label", "prefix"])
-        .filter(F.col("before") + F.col("position") == F.col("rank"))
+        keyed.join(at, ["name", "label", "prefix"])
+        .withColumn("rank", rank)
+        .withColumn("hit", F.explode(F.filter("ranks", lambda wanted_rank: wanted_rank == F.col("rank"))))
         .select("name", "label", F.struct("rank", "h", "id").alias("cut"))
     )
     names = F.explode(F.array(*[F.lit(name) for name in seeds]))
@@ -136,16 +136,19 @@ def with_slots(
     cuts = bounded(_cuts(df, ranks, id_col, label, seeds))
     cuts = cuts.select(F.col("label").alias("_label"), *[F.col(s).alias(f"_{s}") for s in seeds])
 
-    def slot(name: str, seed: str) -> Column:
-        h = hash_order(seed, id_col)
+    hashed = df.join(cuts, F.col(label) == F.col("_label")).select(
+        "*", *[hash_order(seed, id_col).alias(f"_{name}_h") for name, seed in seeds.items()]
+    )
+
+    def slot(name: str) -> Column:
+        h = F.col(f"_{name}_h")
 
         def lies_before(cut: Column) -> Column:
             return (cut["h"] < h) | ((cut["h"] == h) & (cut["id"] < F.col(id_col)))
 
         return F.size(F.filter(F.col(f"_{name}"), lies_before)).alias(name)
 
-    joined = df.join(cuts, F.col(label) == F.col("_label"))
-    return joined.select(*df.columns, *[slot(name, seed) for name, seed in seeds.items()])
+    return hashed.select(*df.columns, *[slot(name) for name in seeds])
 
 
 def stratified_split(

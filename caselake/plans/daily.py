@@ -33,11 +33,12 @@ def build_tables(raw: DataFrame) -> dict[str, DataFrame]:
     """Staged facts and the three marts.
 
     Staging, the one step that shuffles texts, is written once; the marts come
-    from a cube that reads three keys and three measures of it in one scan.
+    from a cube that reads three keys and three measures of it in one scan. The
+    marts, small by then, are written too: every check and the export read them.
     """
     staged = written(stage_cases(raw), "staged")
     cube = written(case_cube(staged), "cube")
-    tables = {name: mart(cube) for name, mart in MARTS.items()}
+    tables = {name: written(mart(cube), name) for name, mart in MARTS.items()}
     tables[FACTS] = staged
     return tables
 

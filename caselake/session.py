@@ -42,6 +42,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """One task per core for costly row work on a scan with fewer splits than cores.
+
+    A scan with splits enough for every core, so any large one, is left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast form of a per-class table, after its size was checked.
 

@@ -24,7 +24,7 @@ from caselake.operators import checks, classifier, external, features, marts, me
 from caselake.operators import ranking, splits, staging
 from caselake.operators.dedupe import first_per_key
 from caselake.plans import daily, evaluation
-from caselake.session import new_path, written
+from caselake.session import new_path, spread, written
 from caselake.sources import lake, landed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -363,7 +363,8 @@ def training_rows(spark, sf_dir):
 
 
 def termed_documents(spark, sf_dir):
-    return features.with_terms(documents(spark, sf_dir).select("doc_id", "text"), "text", stop_words=())
+    texts = spread(documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
+    return features.with_terms(texts, "text", stop_words=())
 
 
 @query
