@@ -21,6 +21,7 @@ from caselake.schemas import CATEGORIES
 from caselake.session import written
 from caselake.sources.lake import export_table, read_lake, require_rows
 
+# Dataset names in the lake.
 FACTS = "stg_complaints"
 MARTS = {
     "mart_complaints_by_category": mart_by_category,

@@ -14,15 +14,17 @@ BROADCAST_ROWS = 10_000
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can read: what ``spark.checkpoint.dir`` names.
 
-    Only a local-mode session that names none gets a temporary folder; on a
-    cluster a missing setting is an error rather than a machine-local path.
+    Without that setting it is the checkpoint folder set on the context. Only a
+    local-mode session that has neither gets a temporary folder; on a cluster
+    that is an error rather than a machine-local path.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        named = tempfile.mkdtemp(prefix="caselake-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="caselake-"))
+        named = context.getCheckpointDir()
     return named.rstrip("/")
 
 

@@ -26,21 +26,17 @@ ANSWERED = "answered as (select * replace (coalesce(timely, 'No') as timely) fro
 def typed(source: str) -> str:
     return f"""typed as (
   select cast(complaint_id as bigint) as complaint_id, product, sub_product, issue, sub_issue, company, state,
-    cast(strptime(replace(date_received, 'Z', '+00'), '%Y-%m-%dT%H:%M:%S.%f%z') as date) as date_received,
-    cast(strptime(replace(date_sent_to_company, 'Z', '+00'), '%Y-%m-%dT%H:%M:%S.%f%z') as date)
-      as date_sent_to_company,
-    company_response, timely = 'Yes' as was_timely, submitted_via,
+    cast(date_received[1:10] as date) as date_received,
+    cast(date_sent_to_company[1:10] as date) as date_sent_to_company,
+    cast(date_sent_to_company[1:10] as date) - cast(date_received[1:10] as date) as days_to_route,
+    company_response, case timely when 'Yes' then true when 'No' then false end as was_timely, submitted_via,
     trim(complaint_what_happened) as narrative, length(trim(complaint_what_happened)) as narrative_length
   from {source})"""
 
 
 STAGE = """facts as (
-  select complaint_id, product, sub_product, issue, sub_issue, company, state, date_received,
-    date_sent_to_company, date_diff('day', date_received, date_sent_to_company) as days_to_route,
-    company_response, was_timely, submitted_via, narrative, narrative_length
-  from (select *, row_number() over (partition by narrative order by complaint_id) as n
-        from typed where narrative_length >= 20)
-  where n = 1)"""
+  select * from typed where narrative_length >= 20
+  qualify complaint_id = min(complaint_id) over (partition by narrative))"""
 
 STAGED = f"with {RAW}, {typed('raw')}, {STAGE}"
 STAGED_ANSWERED = f"with {RAW}, {ANSWERED}, {typed('answered')}, {STAGE}"
@@ -51,11 +47,15 @@ ORDER_CASES = """facts as (
   from orders o join customer c on o.o_custkey = c.c_custkey join nation n on c.c_nationkey = n.n_nationkey)"""
 
 PAIRS = """pairs as (
-  select product, company, count(*) as complaint_count,
-    round(100.0 * sum(cast(was_timely as int)) / count(*), 1) as pct_timely_response
-  from facts group by product, company having count(*) >= 5)"""
+  select * from (
+    select product, company, count(*) as complaint_count,
+      case when count(was_timely) > 0
+        then round(count(*) filter (was_timely) * cast(100 as double) / count(*), 1) end as pct_timely_response
+    from facts group by product, company)
+  where complaint_count >= 5)"""
 AVERAGES = """averages as (
-  select product, round(100.0 * avg(cast(was_timely as int)), 1) as category_avg_pct_timely
+  select product, round(count(*) filter (was_timely) * cast(100 as double) / count(was_timely), 1)
+    as category_avg_pct_timely
   from facts group by product)"""
 WORST = f"""{PAIRS}, {AVERAGES}
 select * from (
@@ -64,18 +64,19 @@ select * from (
   from pairs join averages using (product))
 where pct_timely_response < category_avg_pct_timely"""
 
-BY_CATEGORY = """select product, count(*) as complaint_count, round(avg(narrative_length), 0) as avg_narrative_length,
-  round(100.0 * sum(case when was_timely then 1 else 0 end) / count(*), 1) as pct_timely_response,
-  round(avg(days_to_route), 1) as avg_days_to_route, count(distinct company) as distinct_companies
+TIMELY = "round(count(*) filter (was_timely) * cast(100 as double) / count(*), 1) as pct_timely_response"
+BY_CATEGORY = f"""select product, count(*) as complaint_count, {TIMELY},
+  round(sum(days_to_route) / count(days_to_route), 1) as avg_days_to_route,
+  round(sum(narrative_length) / count(narrative_length), 0) as avg_narrative_length,
+  len(list_distinct(list(company))) as distinct_companies
 from facts group by product"""
-BY_RESPONSE = """select company_response, count(*) as complaint_count,
-  round(100.0 * sum(case when was_timely then 1 else 0 end) / count(*), 1) as pct_timely_response,
-  round(avg(days_to_route), 1) as avg_days_to_route
+BY_RESPONSE = f"""select company_response, count(*) as complaint_count, {TIMELY},
+  round(sum(days_to_route) / count(days_to_route), 1) as avg_days_to_route
 from facts group by company_response"""
-TOP_COMPANIES = """select company, count(*) as complaint_count,
-  round(100.0 * sum(case when was_timely then 1 else 0 end) / count(*), 1) as pct_timely_response,
-  count(distinct product) as distinct_products
-from facts group by company having count(*) >= 10 order by complaint_count desc, company limit 25"""
+TOP_COMPANIES = f"""select * from (
+  select company, count(*) as complaint_count, {TIMELY}, len(list_distinct(list(product))) as distinct_products
+  from facts group by company)
+where complaint_count >= 10 order by complaint_count desc, company limit 25"""
 
 # Cell texts read as null, quoted for SQL.
 NULL_TOKENS = (
@@ -128,9 +129,10 @@ ORACLES["gated_build"] = f"{STAGED_ANSWERED}, {WORST}"
 
 # Staging
 ORACLES["stg_clean"] = f"{STAGED} select * from facts"
-ORACLES["parse_iso_ts"] = f"""with {RAW}, parsed as (
-  select complaint_id, strptime(replace(date_received, 'Z', '+00'), '%Y-%m-%dT%H:%M:%S.%f%z') as ts from raw)
-select complaint_id, cast(epoch(ts) as bigint) as received_s, cast(ts as date) as received from parsed"""
+ORACLES["parse_iso_ts"] = f"""with {RAW}
+select complaint_id, cast(epoch(cast(date_received[1:19] as timestamp)) as bigint) as received_s,
+  cast(date_received[1:10] as date) as received
+from raw"""
 ORACLES["days_to_route"] = """
 select cast(doc_id as varchar) as complaint_id, cast((doc_id * 7) % 5 as bigint) as days from documents"""
 ORACLES["text_normalise"] = f"""
