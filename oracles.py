@@ -306,6 +306,10 @@ select doc_id, term, tf, round(w / norm, 6) as weight from raws join norms using
 ORACLES["class_weights"] = f"""{CLEAN}, counts as (select product, count(*) as n from clean group by product)
 select product, n, round((select sum(n) from counts) / ((select count(*) from counts) * n), 9) as weight
 from counts"""
+ORACLES["model_reload_same_preds"] = f"""{CLEAN}
+select count(*) - cast(ceil(cast(0.2 as double) * count(*)) as bigint) as n_rows,
+  count(*) - cast(ceil(cast(0.2 as double) * count(*)) as bigint) as n_same
+from clean"""
 
 # Metrics
 PREDICTED = """predicted as (
@@ -392,3 +396,39 @@ select count(*) as n_rows, round(avg(cast(pred_label = true_label as int)), 6) a
   round(avg(latency_s), 6) as mean_latency_s, round(quantile_cont(latency_s, 0.5), 6) as p50_latency_s,
   round(quantile_cont(latency_s, 0.95), 6) as p95_latency_s
 from predicted"""
+
+
+def _answers(rows: str) -> str:
+    """The stand-in classifier in SQL: votes by short words of the whole request."""
+    words = {"de": "'der', 'die', 'und', 'das', 'ein'", "en": "'the', 'and', 'of', 'to', 'in'",
+             "es": "'el', 'los', 'y', 'que', 'del'", "fr": "'le', 'la', 'les', 'des', 'et'"}
+    votes = ", ".join(f"len(list_filter(w, lambda x: x in ({listed}))) as {code}" for code, listed in words.items())
+    return f"""asked as (
+  select *, regexp_split_to_array(lower(concat(
+    'Classify this consumer complaint into exactly one of these categories. ',
+    'Reply with only the category name, nothing else.', chr(10), chr(10), 'Categories:', chr(10),
+    '- de', chr(10), '- en', chr(10), '- es', chr(10), '- fr', chr(10), chr(10),
+    'Complaint:', chr(10), narrative, chr(10), chr(10), 'Category:')), '\\s+') as w
+  from {rows}),
+votes as (select * exclude (w), {votes} from asked),
+answers as (
+  select *, case when de >= greatest(en, es, fr) then 'de' when en >= greatest(es, fr) then 'en'
+    when es >= fr then 'es' else 'fr' end as answer
+  from votes)"""
+
+
+ORACLES["external_scores"] = f"""with {RAW},
+cases as (select complaint_id, product, complaint_what_happened as narrative from raw), {_answers("cases")}
+select complaint_id, product, concat('It is ', answer, '.') as external_raw_output, answer as external_pred,
+  cast(null as varchar) as error
+from answers"""
+ORACLES["compare_sample"] = f"""{CLEAN}, sampled as (
+  select complaint_id, product, narrative from clean
+  qualify row_number() over (partition by product order by md5(concat('42:', complaint_id)), complaint_id) <= 40),
+{_answers("sampled")}
+select count(*) as n_rows,
+  round(count(*) filter (case when complaint_id % 7 = 0 then 'en' else product end = product) / count(*), 9)
+    as baseline_acc,
+  round(count(*) filter (answer = product) / count(*), 9) as external_acc_all_rows,
+  cast(0 as bigint) as external_unparseable, cast(0 as bigint) as errors, cast(0 as bigint) as invalid_label
+from answers"""
