@@ -45,12 +45,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(scan: DataFrame, key: str) -> DataFrame:
-    """One task per core for costly row work on a scan with fewer splits than cores.
+    """One task per core for costly row work on a scan with few splits.
 
-    A scan with splits enough for every core, so any large one, is left alone.
+    Small files often hold all their rows in one of their splits. A scan with two
+    splits per core or more, so any large one, is left alone.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < 2 * cores else scan
 
 
 def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
