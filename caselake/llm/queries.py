@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselake.llm import quality
+from caselake.llm import jaccard, quality
 from caselake.llm.common import table
 
 
@@ -19,8 +19,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.link_groups(docs, jaccard.JaccardSpec(words=3, num=90, den=100))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
 #: Queries with a SQL counterpart.
