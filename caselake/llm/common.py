@@ -56,3 +56,14 @@ def constant_array(values: Sequence[float], digits: int = 6) -> Column:
     literal, which Spark folds to an array when it plans the query.
     """
     return F.split(F.lit(",".join(f"{v:.{digits}f}" for v in values)), ",").cast("array<double>")
+
+
+def slot_test(slot: Column, taken: Sequence[int], slots: int) -> Column:
+    """True where ``slot`` is one of ``taken``: a bitmap of ``slots`` bits as a constant,
+    to keep rows that cannot matter out of a shuffle. What passes is checked exactly."""
+    width = 52  # bits that a double holds exactly, with room
+    bits = [0] * (-(-slots // width))
+    for at in taken:
+        bits[at // width] |= 1 << (at % width)
+    word = F.get(constant_array(bits, 0), F.floor(slot / F.lit(width)).cast("int")).cast("bigint")
+    return F.getbit(word, (slot % width).cast("int")) == 1

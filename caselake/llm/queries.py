@@ -4,13 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselake.llm import jaccard, quality
+from caselake.llm import jaccard, pii, quality
 from caselake.llm.common import table
 
 
+def op1_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[count(kind) for kind in pii.KINDS],
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(F.concat("base", "added")).alias("spans"),
+        F.size("added").cast("bigint").alias("n_added"),
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.assess(docs, table(spark, sf_dir, "labels")).select(
@@ -25,6 +39,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii_sanitisation": op1_pii_sanitisation,
     "op8_quality_rules": op8_quality_rules,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
