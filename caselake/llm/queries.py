@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselake.llm import jaccard, pii, quality
+from caselake.llm import bpe, jaccard, mixing, pii, quality
 from caselake.llm.common import table
 
 
@@ -25,6 +26,17 @@ def op1_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target",
+                        (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate")
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.assess(docs, table(spark, sf_dir, "labels")).select(
@@ -40,6 +52,8 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_sanitisation": op1_pii_sanitisation,
+    "op3_entropy_mixing": op3_entropy_mixing,
+    "op4_byte_bpe": op4_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
