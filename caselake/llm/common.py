@@ -67,3 +67,10 @@ def slot_test(slot: Column, taken: Sequence[int], slots: int) -> Column:
         bits[at // width] |= 1 << (at % width)
     word = F.get(constant_array(bits, 0), F.floor(slot / F.lit(width)).cast("int")).cast("bigint")
     return F.getbit(word, (slot % width).cast("int")) == 1
+
+
+def paired(left: Column, right: Column, shift: int, n: Column) -> Column:
+    """Hash of each of the first ``n`` elements of ``left`` with the one ``shift`` places
+    on in ``right``; nothing where ``n`` is not positive."""
+    n = F.greatest(n, F.lit(0))
+    return F.zip_with(F.slice(left, F.lit(1), n), F.slice(right, F.lit(shift + 1), n), lambda a, b: F.xxhash64(a, b))

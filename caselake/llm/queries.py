@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselake.llm import bpe, jaccard, mixing, pii, quality
+from caselake.llm import bpe, jaccard, mixing, pii, quality, simhash
 from caselake.llm.common import table
 
 
@@ -37,6 +37,16 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marks = simhash.described(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return simhash.search(marks, F.col("doc_id") % 50 == 0).select(
+        "doc_id", "n_chars", "edited_sha256", simhash.hexed(F.col("fingerprint")).alias("fingerprint"),
+        simhash.hexed(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        simhash.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        simhash.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"), "n_near",
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.assess(docs, table(spark, sf_dir, "labels")).select(
@@ -54,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_sanitisation": op1_pii_sanitisation,
     "op3_entropy_mixing": op3_entropy_mixing,
     "op4_byte_bpe": op4_byte_bpe,
+    "op7_simhash": op7_simhash,
     "op8_quality_rules": op8_quality_rules,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
