@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselake.llm import bpe, jaccard, mixing, pii, quality, simhash
+from caselake.llm import bpe, jaccard, mixing, pii, quality, simhash, token_files
 from caselake.llm.common import table
 
 
@@ -26,6 +26,14 @@ def op1_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_files.folder(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    token_files.write_ids(docs, public_tokenizers.path("word_bpe_49k.json"), path)
+    return token_files.read_ids(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op3_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target",
@@ -62,6 +70,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_sanitisation": op1_pii_sanitisation,
+    "op2_token_files": op2_token_files,
     "op3_entropy_mixing": op3_entropy_mixing,
     "op4_byte_bpe": op4_byte_bpe,
     "op7_simhash": op7_simhash,
