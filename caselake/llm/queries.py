@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselake.llm import bpe, jaccard, mixing, pii, quality, simhash, token_files
+from caselake.llm import bloom_lm, bpe, jaccard, mixing, pii, quality, simhash, token_files
 from caselake.llm.common import table
 
 
@@ -63,6 +63,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bloom_lm.score(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2)
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.link_groups(docs, jaccard.JaccardSpec(words=3, num=90, den=100))
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op7_simhash": op7_simhash,
     "op8_quality_rules": op8_quality_rules,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
