@@ -289,7 +289,7 @@ BOILER_SHAPES = (
 )
 MAIN_SHAPES = (("article",), ("main",), ("main", "article"), ("div .content",), ("div .post .content",), ("div .main", "article"),
                ("div .entry .content",), ("section .story",), ("div .article .body",), ("main .main", "div .content"))
-CONTENT_TAGS = ("p", "p", "p", "p", "h2", "h3", "blockquote", "pre", "ul/li", "ol/li", "table/tr/td", "section/p", "div", "figure/figcaption")
+CONTENT_TAGS = ("p", "p", "p", "p", "ul/li", "h2", "h3", "blockquote", "pre", "ul/li", "ol/li", "table/tr/td", "section/p", "div", "figure/figcaption")
 
 
 def is_boiler(path: Sequence[str]) -> bool:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselake.llm import bloom_lm, bpe, html_text, jaccard, mixing, pii, quality, simhash, token_files
+from caselake.llm import bloom_lm, bpe, html_text, jaccard, language, mixing, pii, quality, simhash, token_files
 from caselake.llm.common import table
 
 
@@ -45,6 +45,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language.fit_text_model(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    return language.identify(table(spark, sf_dir, "pages").select("page_id", "url", "html"), model)
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.extract(pages).withColumn("n_chars", F.length("text").cast("bigint"))
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
     "op3_entropy_mixing": op3_entropy_mixing,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_language_id": op5_language_id,
     "op6_html_extraction": op6_html_extraction,
     "op7_simhash": op7_simhash,
     "op8_quality_rules": op8_quality_rules,
