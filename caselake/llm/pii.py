@@ -7,7 +7,8 @@ and W words in all, the disclosure is PMI(e; t) / IC(e), where PMI is
 log2(n(e, t) * W / (n(e) * n(t))) and IC(e) is log2(W / n(e)). It is 1 for a term
 met only beside e. Terms at or over ``generalise_at`` are generalised, those at or
 over ``remove_at`` removed, wherever they stand. A context is a few words on both
-sides; a pair needs several different ones, so copies of one passage prove nothing.
+sides; a pair needs several that differ in most words, so copies and near copies of one
+passage prove nothing.
 Only DataFrame functions are used.
 
 Defined results: a null or empty text has no spans and stays as it is; null ids and
@@ -42,10 +43,14 @@ EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~¿¡«»„“”‘’…–—"
 
 @dataclass(frozen=True)
 class Disclosure:
-    """``slots`` is the size of the prefilter bitmap; it only saves work."""
+    """``min_contexts``: different contexts of an entity in which a term must stand;
+    ``min_variety``: different terms per different context of an entity, below which they
+    are one passage with edits. ``slots`` is the size of the prefilter bitmap; it only
+    saves work."""
 
     context_words: int = 4
     min_contexts: int = 3
+    min_variety: float = 4.0
     generalise_at: float = 0.9
     remove_at: float = 0.97
     slots: int = 1 << 17
@@ -152,7 +157,11 @@ def disclosing_terms(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFra
         .filter(F.col("places") >= how.min_contexts)
     )
     times = contexts.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    pairs = written(pairs.join(times, "entity"), "beside")
+    seen = contexts.select("entity", F.xxhash64("context").alias("where")).distinct().groupBy("entity").agg(
+        F.count(F.lit(1)).alias("n_places"))
+    varied = held.select("entity", "term").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_terms"))
+    varied = varied.join(seen, "entity").filter(F.col("n_terms") >= F.col("n_places") * how.min_variety)
+    pairs = written(pairs.join(times, "entity").join(varied, "entity", "left_semi"), "beside")
     slot = F.pmod(F.xxhash64("term"), F.lit(how.slots))
     taken = [r["slot"] for r in pairs.select(slot.alias("slot")).distinct().collect()]  # at most ``slots``
     if not taken:
