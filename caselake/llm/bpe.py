@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from caselake.llm.common import whole_text
 
-CACHE = 300_000
+CACHE = 100_000
 NONE = 1 << 62  # above every (rank, position)
 
 
@@ -167,6 +167,30 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return packed.mapInArrow(rows, f"doc {kind}, bytes binary").select("doc.*", "bytes")
 
 
+def token_rows(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, source, ids, n_tokens, exact): ids, and whether they decode to the text.
+
+    One pass in one worker per task; texts do not travel back.
+    """
+    content = _rank_file(path)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        to_ids, to_bytes = encoder(content), decoder(content)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 128):
+                part = batch.slice(start, 128)
+                bodies = part.column("body").to_pylist()
+                ids = [to_ids(text) for text in bodies]
+                exact = [to_bytes(found) == text.encode("utf-8") for found, text in zip(ids, bodies)]
+                yield pa.RecordBatch.from_arrays([
+                    part.column("doc_id"), part.column("source"), pa.array(ids, pa.list_(pa.int32())),
+                    pa.array(map(len, ids), pa.int64()), pa.array(exact, pa.bool_()),
+                ], ["doc_id", "source", "ids", "n_tokens", "exact"])
+
+    bodies = docs.select("doc_id", "source", whole_text().alias("body"))
+    return bodies.mapInArrow(rows, "doc_id bigint, source string, ids array<int>, n_tokens bigint, exact boolean")
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): ids and the bytes they decode to."""
     content = _rank_file(path)

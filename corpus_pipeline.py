@@ -49,10 +49,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, source, ids, n_tokens, exact): the training rows, and whether the ids
     decode to the text again."""
-    path = public_tokenizers.path(TOKENIZER)
-    rows = bpe.decode(bpe.encode(docs.select("doc_id", "source", "text"), path), path)
-    return rows.select("doc_id", "source", "ids", F.size("ids").cast("bigint").alias("n_tokens"),
-                       (F.col("bytes") == F.coalesce("text", F.lit("")).cast("binary")).alias("exact"))
+    return bpe.token_rows(docs, public_tokenizers.path(TOKENIZER))
 
 
 STAGES = [
