@@ -16,7 +16,6 @@ from caselake.schemas import (
     DATE_MIN,
     RAW_FIELDS,
     response_schema,
-    text_schema,
 )
 
 # Cell texts that mean "no value" in a CSV extract.
@@ -92,18 +91,20 @@ def read_csv(
     spark: SparkSession, path: str, fields: Sequence[str], null_tokens: Sequence[str] = NULL_TOKENS,
     multi_line: bool = True,
 ) -> DataFrame:
-    """CSV extract as text columns; quoted cells may hold line breaks.
+    """CSV extract as text columns, found by the names in its header.
 
-    A file with line breaks in cells cannot be split, so land many files rather
-    than a large one; set ``multi_line`` to False where cells hold none.
+    Columns may stand in any order; further ones are left out and missing ones are
+    null, but a file with none of the ``fields`` is an error. Quoted cells may hold
+    line breaks; a file with such cells cannot be split, so land many files rather than
+    a large one, and set ``multi_line`` to False where cells hold none.
     """
-    df = (
-        spark.read.schema(text_schema(fields))
-        .options(header=True, multiLine=multi_line, quote='"', escape='"')
-        .csv(path)
-    )
+    df = spark.read.options(header=True, multiLine=multi_line, quote='"', escape='"', inferSchema=False).csv(path)
+    if not set(fields) & set(df.columns):
+        raise ValueError(f"{path} has none of the columns {list(fields)}, but {df.columns}")
     return df.select(*[
-        F.when(~F.col(f).isin(*null_tokens), F.col(f)).alias(f) for f in fields
+        F.when(~F.col(f"`{f}`").isin(*null_tokens), F.col(f"`{f}`")).alias(f)
+        if f in df.columns else F.lit(None).cast("string").alias(f)
+        for f in fields
     ])
 
 

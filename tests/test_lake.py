@@ -131,3 +131,12 @@ def test_replace_table_counts_what_is_there(spark, make_raw, tmp_path):
     path = str(tmp_path / "raw")
     assert landed.replace_table(make_raw({}, {}, {}), path) == 3
     assert landed.replace_table(make_raw({}), path) == 1
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    path = tmp_path / "cases.csv"
+    path.write_text("product,more,complaint_id\nMortgage,x,7\n")
+    rows = landed.read_csv(spark, str(path), ["complaint_id", "product", "state"]).collect()
+    assert [tuple(r) for r in rows] == [("7", "Mortgage", None)]
+    with pytest.raises(ValueError, match="none of the columns"):
+        landed.read_csv(spark, str(path), ["company"])
