@@ -32,8 +32,8 @@ from caselake.session import bounded, written
 C = 1.0
 MAX_ITER = 1000
 
-# Every task returns a whole gradient per iteration, so it should see this many rows.
-ROWS_PER_TASK = 5_000
+# Levels of the tree that adds up the gradients of all tasks.
+AGGREGATION_DEPTH = 2
 
 
 @dataclass(frozen=True)
@@ -64,7 +64,8 @@ def _fit_terms(
     """Fit on rows that carry ``terms``, given their vocabulary.
 
     The vocabulary has at most ``max_features`` entries and becomes part of the
-    model; the optimiser's gradients are tree-aggregated by Spark ML.
+    model. Vectors are made in the tasks that read the terms and written once; the
+    optimiser's gradients over them are tree-aggregated by Spark ML.
     """
     if not vocabulary:
         raise ValueError(f"no term occurs in {spec.min_df} or more documents")
@@ -83,14 +84,18 @@ def _fit_terms(
         family="multinomial", featuresCol="features", labelCol="_label", weightCol="weight",
         predictionCol="_prediction", elasticNetParam=0.0, standardization=False,
         regParam=1.0 / (spec.c * rows), maxIter=spec.max_iter,
-    ).fit(ready.select("features", "_label", "weight").coalesce(max(1, rows // ROWS_PER_TASK)))
+        aggregationDepth=AGGREGATION_DEPTH,
+    ).fit(written(ready.select("features", "_label", "weight"), "vectors"))
     names = IndexToString(inputCol="_prediction", outputCol="baseline_pred", labels=labels)
     return PipelineModel([*features, regression, names])
 
 
 def fit_classifier(train: DataFrame, spec: TextModelSpec = TextModelSpec()) -> PipelineModel:
     """The whole text-to-label model; vocabulary and weights come from ``train`` only."""
-    termed = with_terms(train.select(spec.text, spec.label), spec.text, spec.stop_words)
+    termed = written(
+        with_terms(train.select(spec.text, spec.label), spec.text, spec.stop_words).select("terms", spec.label),
+        "terms",
+    )
     vocabulary = learn_vocabulary(termed, spec.min_df, spec.max_features)
     fitted = _fit_terms(termed, vocabulary, spec)
     return PipelineModel([*term_stages(spec.text, spec.stop_words), *fitted.stages])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -33,20 +34,21 @@ def call_with_retry(
     Transient errors wait one pause and rate limits an ever longer one; the last
     try and any other error end it. Secrets are taken out of the error text.
     """
-    for attempt in range(max_tries):
+    # Per try the pause after a rate limit and after a transient error; none after the last.
+    pauses = [(pause_s * (n + 1), pause_s) for n in range(1, max_tries)] + [(None, None)] * (max_tries > 0)
+    output, message = "", GAVE_UP
+    for after_limit, after_fault in pauses:
         try:
-            return call(prompt), None
+            output, message = call(prompt), None
+            break
         except Exception as error:
-            limited = isinstance(error, RateLimited)
-            if (limited or isinstance(error, transient)) and attempt + 1 < max_tries:
-                sleep(pause_s * (attempt + 2) if limited else pause_s)
-                continue
-            message = str(error)
-            for secret in secrets:
-                if secret:
-                    message = message.replace(secret, REDACTED)
-            return "", message
-    return "", GAVE_UP
+            message = reduce(lambda text, secret: text.replace(secret, REDACTED), filter(None, secrets), str(error))
+            known = {True: after_limit, False: after_fault if isinstance(error, transient) else None}
+            pause = known[isinstance(error, RateLimited)]
+        if pause is None:
+            break
+        sleep(pause)
+    return output, message
 
 
 def external_scores(
@@ -98,8 +100,7 @@ def reliability_summary(
     """One row: accuracies on the same rows, unparseable answers, errors, latency.
 
     Unparseable is the sum of failed calls and answers without a valid label.
-    Latency percentiles are exact at millisecond resolution, so that they need
-    one row per different millisecond rather than every call.
+    Latency percentiles are exact, from one row per different latency.
     """
     right = F.col(external_pred) == F.col(true)
     failed = F.col(error).isNotNull()
@@ -113,11 +114,11 @@ def reliability_summary(
         "seconds": F.sum(latency),
         "timed": F.count(latency),
     }
-    per_ms = scored.groupBy(F.round(latency, 3).alias("ms")).agg(
+    per_latency = scored.groupBy(F.col(latency).alias("seconds_each")).agg(
         *[c.alias(name) for name, c in sums.items()]
     )
     rows = F.sum("rows")
-    return per_ms.agg(
+    return per_latency.agg(
         rows.alias("n_rows"),
         F.try_divide(F.sum("base_right"), rows).alias("baseline_acc"),
         F.try_divide(F.sum("right"), F.sum("parsed")).alias("external_acc_parseable_only"),
@@ -126,6 +127,6 @@ def reliability_summary(
         F.sum("errors").alias("errors"),
         F.sum("invalid").alias("invalid_label"),
         F.try_divide(F.sum("seconds"), F.sum("timed")).alias("mean_latency_s"),
-        F.percentile("ms", 0.5, F.col("rows")).alias("p50_latency_s"),
-        F.percentile("ms", 0.95, F.col("rows")).alias("p95_latency_s"),
+        F.percentile("seconds_each", 0.5, F.col("rows")).alias("p50_latency_s"),
+        F.percentile("seconds_each", 0.95, F.col("rows")).alias("p95_latency_s"),
     )

@@ -17,11 +17,16 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caselake.session import written
+
 # Shape of the text features.
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"
 MIN_DF = 3
 MAX_FEATURES = 20_000
 
+# Parts of a doubling of the frequency that the first histogram tells apart.
+STEPS = 16
+
 
 def english_stop_words() -> list[str]:
     """Spark's own English list."""
@@ -79,8 +84,52 @@ def term_counts(
 def top_terms(
     counts: DataFrame, min_df: int = MIN_DF, max_features: int = MAX_FEATURES
 ) -> DataFrame:
-    """The most frequent terms found in at least ``min_df`` documents; ties go by term."""
-    return counts.filter(F.col("df") >= min_df).orderBy(F.desc("tf"), "term").limit(max_features)
+    """The most frequent terms found in at least ``min_df`` documents; ties go by term.
+
+    Histograms find the cut first, so at most ``2 * max_features`` rows are sorted,
+    however many tasks hold them. ``counts`` is read several times and should be a
+    written table.
+    """
+    able = counts.filter(F.col("df") >= min_df)
+    # Coarse steps of the frequency, then the frequencies inside the step with the cut.
+    step = F.floor(F.log2("tf") * STEPS).cast("bigint")
+    at, above, _ = _cut(able.select((-step).alias("k")), max_features)
+    if at is None:
+        return able.orderBy(F.desc("tf"), "term")
+    inside = able.filter(step == -at)
+    tf, more, _ = _cut(inside.select((-F.col("tf")).alias("k")), max_features - above)
+    tied = _first_terms(able.filter(F.col("tf") == -tf), max_features - above - more, max_features)
+    return able.filter(F.col("tf") > -tf).unionByName(tied).orderBy(F.desc("tf"), "term").limit(max_features)
+
+
+def _cut(keys: DataFrame, n: int) -> tuple:
+    """(key ``k`` of the n-th row in ascending order, rows before that key, rows at it);
+    (None, rows, 0) where there are not more than ``n`` rows."""
+    before = 0
+    for row in keys.groupBy("k").agg(F.count(F.lit(1)).alias("n")).orderBy("k").toLocalIterator():
+        if before + row["n"] > n:
+            return row["k"], before, row["n"]
+        before += row["n"]
+    return None, before, 0
+
+
+def _first_terms(terms: DataFrame, n: int, slack: int) -> DataFrame:
+    """The first ``n`` rows by term and at most ``slack`` after them.
+
+    Terms, which differ, are told apart byte by byte until few enough share the
+    bytes at the cut: a histogram of at most 257 values each time.
+    """
+    code = F.hex(F.encode("term", "utf-8"))
+    length, shared, left = 0, "", n
+    while True:
+        length += 2
+        here = terms.filter(code.startswith(shared)) if shared else terms
+        at, before, rows = _cut(here.select(F.substring(code, 1, length).alias("k")), left)
+        if at is None:
+            return terms if not shared else terms.filter(F.substring(code, 1, len(shared)) <= shared)
+        shared, left = at, left - before
+        if rows <= left + slack:
+            return terms.filter(F.substring(code, 1, length) <= shared)
 
 
 def idf(n_docs: Column, doc_freq: Column) -> Column:
@@ -93,7 +142,8 @@ def learn_vocabulary(
 ) -> list[tuple[str, float]]:
     """(term, idf), most frequent term first: at most ``max_features`` pairs."""
     n_docs = termed.agg(F.count(F.lit(1))).scalar()
-    return collect_vocabulary(term_counts(termed), n_docs, min_df, max_features)
+    counts = written(term_counts(termed).filter(F.col("df") >= min_df), "term-counts")
+    return collect_vocabulary(counts, n_docs, min_df, max_features)
 
 
 def collect_vocabulary(

@@ -70,21 +70,29 @@ def rank_by_rate(
     is one plus the pairs at lower rates, read off a running sum over that small
     histogram; a group's pairs themselves are never sorted in one task.
     """
-    slot = F.coalesce(F.col(rate), F.lit(-1.0))
-    below = Window.partitionBy(group).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    ranks = (
-        pairs.groupBy(group, slot.alias("_slot"))
+    return _with_ranks(pairs, _ranks(pairs, group, rate, out), group, rate)
+
+
+def _ranks(pairs: DataFrame, group: str, rate: str, out: str) -> DataFrame:
+    """(_group, _rate, rank): a row per group and rate that occurs in it."""
+    below = (
+        Window.partitionBy(group).orderBy(F.col("_rate").asc_nulls_first())
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return (
+        pairs.groupBy(group, F.col(rate).alias("_rate"))
         .agg(F.count(F.lit(1)).alias("_pairs"))
         .select(
-            F.col(group).alias("_group"), "_slot",
+            F.col(group).alias("_group"), "_rate",
             (F.coalesce(F.sum("_pairs").over(below), F.lit(0)) + 1).alias(out),
         )
     )
-    return (
-        pairs.withColumn("_at", slot)
-        .join(ranks, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_at") == F.col("_slot")))
-        .drop("_at", "_slot", "_group")
-    )
+
+
+def _with_ranks(pairs: DataFrame, ranks: DataFrame, group: str, rate: str) -> DataFrame:
+    """``pairs`` with what ``ranks`` says about their group and rate, both null-safe."""
+    same = F.col(group).eqNullSafe(F.col("_group")) & F.col(rate).eqNullSafe(F.col("_rate"))
+    return pairs.join(ranks, same).drop("_group", "_rate")
 
 
 def underperformers(
@@ -97,10 +105,15 @@ def underperformers(
     covers all entities. Groups without a name match no average and drop out.
     """
     counts = _flag_counts(df.filter(F.col(group).isNotNull()), group, entity, flag)
-    ranked = rank_by_rate(_pairs(counts, group, entity, min_count), group)
+    pairs, rate = _pairs(counts, group, entity, min_count), "pct_timely_response"
+    ranks = _ranks(pairs, group, rate, "rank_within_category")
+    # The average joins the few rates of a group and drops those not below it, so that
+    # the pairs meet one small table and only in the rates that stay.
+    low = ranks.join(
+        _averages(counts, group).withColumnRenamed(group, "_of"), F.col("_group") == F.col("_of")
+    ).filter(F.col("_rate") < F.col("category_avg_pct_timely")).drop("_of")
     return (
-        ranked.join(_averages(counts, group), group)
-        .filter(F.col("pct_timely_response") < F.col("category_avg_pct_timely"))
+        _with_ranks(pairs, low, group, rate)
         .select(
             group, entity, "complaint_count", "pct_timely_response",
             "category_avg_pct_timely", "rank_within_category",

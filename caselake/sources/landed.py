@@ -32,10 +32,28 @@ def read_responses(
     """Landed search responses to one row per hit; absent fields are null.
 
     ``multi_line`` takes one pretty-printed response per file; with one response
-    per line set it to False, so that large files split over tasks.
+    per line set it to False, so that large files split over tasks. A response that
+    cannot be parsed or has no list of hits, such as an error body, fails the read; an
+    empty list is sound. ``rejected_pages`` counts such responses instead.
     """
-    pages = spark.read.schema(response_schema(fields)).option("multiLine", multi_line).json(path)
-    return pages.select(F.explode("hits.hits").alias("h")).select("h._source.*")
+    hits = _pages(spark, path, fields, multi_line, "FAILFAST").select("hits.hits").select(
+        F.coalesce("hits", F.raise_error(F.lit(f"a response under {path} has no hits"))).alias("hits")
+    )
+    return hits.select(F.explode("hits").alias("h")).select("h._source.*")
+
+
+def rejected_pages(
+    spark: SparkSession, path: str, fields: Sequence[str] = RAW_FIELDS, multi_line: bool = True
+) -> DataFrame:
+    """One row: how many responses there are, and how many ``read_responses`` fails on."""
+    pages = _pages(spark, path, fields, multi_line, "PERMISSIVE")
+    return pages.agg(
+        F.count(F.lit(1)).alias("pages"), F.count_if(F.col("hits.hits").isNull()).alias("rejected")
+    )
+
+
+def _pages(spark: SparkSession, path: str, fields: Sequence[str], multi_line: bool, mode: str) -> DataFrame:
+    return spark.read.schema(response_schema(fields)).options(multiLine=multi_line, mode=mode).json(path)
 
 
 def source_filter(
