@@ -1,9 +1,9 @@
 """Token ids as files: canonical length-limited Huffman codes from global counts.
 
-Writing takes two passes. The first counts every id over all documents; the driver
-makes the code from these counts (one per id of the vocabulary). The second encodes
-each document to whole 32-bit words, sorts documents by id range and packs neighbours
-into shards. A shard is a row of a Parquet file whose column ``data`` has the format
+Texts meet the tokenizer once; their ids are written to the shared folder. One pass
+over them counts every id; the driver makes the code from these counts (one per id of
+the vocabulary). The next sorts documents by id range, encodes each to whole 32-bit
+words and packs neighbours into shards. A shard is a row of a Parquet file whose column ``data`` has the format
 
     magic "HUF1" | limit u2 | block u2 | documents u4 | tokens u8 | before u8 | words u4
     tokens per document u4[] | words per document u4[] | checkpoints u4[] | code words u4[] | crc32 u4
@@ -21,6 +21,7 @@ empty table gives no shards. Only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -29,17 +30,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselake.llm.common import row_key, whole_text
-from caselake.session import new_path
+from caselake.session import new_path, written
 
 HEADER = struct.Struct("<4sHHIQQI")
 MAGIC = b"HUF1"
 CACHE = 400_000
 
+# Runs of these characters are lower-cased and cut alike by every Unicode version.
+PLAIN = regex.compile(r"[!-~\u00A1-\u00AC\u00AE-\u012F\u0131-\u017E]*")
+
 
 @dataclass(frozen=True)
 class FileSpec:
@@ -52,11 +57,31 @@ class FileSpec:
     shard: int = 1 << 19
 
 
+def word_rule(content: str) -> tuple[regex.Pattern, np.ndarray] | None:
+    """(pattern that cuts lower-case text into words, ids that end a word), from the
+    tokenizer's file; None where it does not work by separate words with a marked end."""
+    spec = json.loads(content)
+    steps = (spec.get("normalizer") or {}).get("normalizers", [])
+    cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    mark = spec["model"].get("end_of_word_suffix")
+    if [s["type"] for s in steps] != ["NFC", "Replace", "Lowercase"] or [c["type"] for c in cuts] != ["Split", "ByteLevel"]:
+        return None
+    cut, as_bytes = cuts
+    if not mark or cut["behavior"] != "Removed" or not cut["invert"] or as_bytes["use_regex"] or as_bytes["add_prefix_space"]:
+        return None
+    vocabulary = spec["model"]["vocab"]
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
+    return regex.compile(cut["pattern"]["Regex"]), ends
+
+
 class Chunks(dict):
     """Ids (u4 bytes) per run of text without ASCII white space.
 
     The tokenizer drops white space and nothing in it looks across, so a text's ids are
-    those of its runs in order. Emptied when it holds ``CACHE`` runs.
+    those of its runs in order. New runs of plain letters are cut into words as the
+    tokenizer cuts them, and the new words go to it many at a time; any other run goes
+    to it whole. Emptied when it holds ``CACHE`` runs, as is the store of words.
     """
 
     def __init__(self, content: str):
@@ -66,22 +91,48 @@ class Chunks(dict):
 
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.rule, self.words = word_rule(content), {}
+
+    def whole(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for start in range(0, len(texts), 4096):
+            for found in self.tokenizer.encode_batch_fast(texts[start:start + 4096], add_special_tokens=False):
+                yield np.array(found.ids, "<u4")
+
+    def learn_words(self, new: list[str]) -> None:
+        """Many words per call, told apart by the ids that end a word."""
+        groups = [new[start:start + 256] for start in range(0, len(new), 256)]
+        for group, ids in zip(groups, self.whole([" ".join(group) for group in groups])):
+            stops = np.flatnonzero(self.rule[1][ids]) + 1
+            if len(stops) == len(group) and stops[-1] == len(ids):
+                data, first = ids.tobytes(), 0
+                for word, stop in zip(group, (4 * stops).tolist()):
+                    self.words[word] = data[first:stop]
+                    first = stop
+            else:
+                self.words.update((word, own.tobytes()) for word, own in zip(group, self.whole(group)))
 
     def learn(self, texts: list[list[bytes]]) -> None:
         new = list({run for runs in texts for run in runs} - self.keys())
         if len(self) + len(new) > CACHE:
             self.clear()
             new = list({run for runs in texts for run in runs})
-        for start in range(0, len(new), 4096):
-            part = new[start:start + 4096]
-            for run, found in zip(part, self.tokenizer.encode_batch([r.decode() for r in part], add_special_tokens=False)):
-                self[run] = np.array(found.ids, "<u4").tobytes()
-
-    def encode(self, bodies: list[bytes], end: bytes) -> list[np.ndarray]:
+        runs = [run.decode() for run in new]
+        plain = [bool(self.rule and PLAIN.fullmatch(run)) for run in runs]
+        cut = [self.rule[0].findall(run.lower()) if easy else None for run, easy in zip(runs, plain)]
+        if len(self.words) > CACHE:
+            self.words.clear()
+        self.learn_words(list({word for words in cut if words for word in words} - self.words.keys()))
+        others = self.whole([run for run, easy in zip(runs, plain) if not easy])
+        get = self.words.__getitem__
+        for run, words in zip(new, cut):
+            self[run] = next(others).tobytes() if words is None else b"".join(map(get, words))
+
+    def encode(self, bodies: list[bytes], end: bytes) -> list[bytes]:
+        """Ids of each text as u4 bytes, ``end`` after them."""
         texts = [body.split() for body in bodies]  # bytes.split knows ASCII white space only
         self.learn(texts)
         get = self.__getitem__
-        return [np.frombuffer(b"".join(map(get, runs)) + end, "<u4") for runs in texts]
+        return [b"".join(map(get, runs)) + end for runs in texts]
 
 
 def _batches(batch: pa.RecordBatch, rows: int = 128) -> Iterator[pa.RecordBatch]:
@@ -89,23 +140,36 @@ def _batches(batch: pa.RecordBatch, rows: int = 128) -> Iterator[pa.RecordBatch]
         yield batch.slice(start, rows)
 
 
-def id_counts(docs: DataFrame, content: str, spec: FileSpec) -> dict[int, int]:
-    """How often every id occurs over all documents: at most one row per id is collected."""
+def encoded(docs: DataFrame, content: str, spec: FileSpec) -> DataFrame:
+    """(doc_id, text_hash, ids): the ids of every text with the end id, as u4 bytes."""
     end = np.array([spec.end_id], "<u4").tobytes()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks, counts = Chunks(content), np.zeros(0, np.int64)
+        chunks = Chunks(content)
+        for batch in batches:
+            for part in _batches(batch):
+                ids = chunks.encode(part.column("body").to_pylist(), end)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("text_hash"), pa.array(ids, pa.binary())],
+                    ["doc_id", "text_hash", "ids"])
+
+    bodies = docs.select(*row_key(), whole_text().cast("binary").alias("body"))
+    return bodies.mapInArrow(rows, "doc_id bigint, text_hash bigint, ids binary")
+
+
+def id_counts(ids: DataFrame) -> dict[int, int]:
+    """How often every id occurs over all documents: at most one row per id is collected."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(0, np.int64)
         for batch in batches:
             for part in _batches(batch):
-                ids = np.concatenate(chunks.encode(part.column("body").to_pylist(), end))
-                here = np.bincount(ids, minlength=len(counts))
+                here = np.bincount(np.frombuffer(b"".join(part.column("ids").to_pylist()), "<u4"), minlength=len(counts))
                 here[:len(counts)] += counts
                 counts = here
         seen = np.nonzero(counts)[0]
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], ["id", "n"])
 
-    bodies = docs.select(whole_text().cast("binary").alias("body"))
-    counted = bodies.mapInArrow(rows, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = ids.select("ids").mapInArrow(rows, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     return {r["id"]: r["n"] for r in counted.collect()}
 
 
@@ -241,47 +305,36 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, spec: FileSpec = FileS
     ``path``/codes and ``path``/shards."""
     with open(tokenizer, encoding="utf-8") as file:
         content = file.read()  # the tokenizer's file, under two megabytes, sent with the tasks
-    lengths = code_lengths(id_counts(docs, content, spec), spec.limit)
     spark = docs.sparkSession
+    ids = written(encoded(docs, content, spec), "ids")
+    lengths = code_lengths(id_counts(ids), spec.limit)
     spark.createDataFrame(list(lengths.items()), "id bigint, bits bigint").coalesce(1).write.parquet(f"{path}/codes")
     code, bits = Codebook.of(lengths, spec.limit).for_encoding()
-    end = np.array([spec.end_id], "<u4").tobytes()
-
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = Chunks(content)
-        for batch in batches:
-            for part in _batches(batch):
-                texts = chunks.encode(part.column("body").to_pylist(), end)
-                out = pack(texts, code, bits, spec.block)
-                yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), part.column("text_hash"), pa.array([len(t) for t in texts], pa.int64()),
-                    pa.array([w for w, _ in out], pa.binary()), pa.array([c for _, c in out], pa.binary()),
-                ], ["doc_id", "text_hash", "n", "words", "checkpoints"])
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, before, open_ids, ids, rows, number = TaskContext.get().partitionId(), 0, 0, [], [], 0
+        number_of_task, before, open_ids, doc_ids, rows, number = TaskContext.get().partitionId(), 0, 0, [], [], 0
 
         def close() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([
-                pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([open_ids], pa.int64()),
-                pa.array([ids], pa.list_(pa.int64())), pa.array([shard_bytes(rows, before, spec)], pa.binary()),
+                pa.array([number_of_task], pa.int32()), pa.array([number], pa.int32()), pa.array([open_ids], pa.int64()),
+                pa.array([doc_ids], pa.list_(pa.int64())), pa.array([shard_bytes(rows, before, spec)], pa.binary()),
             ], ["part", "number", "tokens", "doc_ids", "data"])
 
         for batch in batches:
-            for row in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "n", "words", "checkpoints")]):
-                ids.append(row[0])
-                rows.append(row[1:])
-                open_ids += row[1]
-                if open_ids >= spec.shard:
-                    yield close()
-                    before, number, open_ids, ids, rows = before + open_ids, number + 1, 0, [], []
+            for part in _batches(batch):
+                texts = [np.frombuffer(own, "<u4") for own in part.column("ids").to_pylist()]
+                for doc_id, own, out in zip(part.column("doc_id").to_pylist(), texts, pack(texts, code, bits, spec.block)):
+                    doc_ids.append(doc_id)
+                    rows.append((len(own), *out))
+                    open_ids += len(own)
+                    if open_ids >= spec.shard:
+                        yield close()
+                        before, number, open_ids, doc_ids, rows = before + open_ids, number + 1, 0, [], []
         if rows:
             yield close()
 
-    bodies = docs.select(*row_key(), whole_text().cast("binary").alias("body"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    small = bodies.mapInArrow(packed, "doc_id bigint, text_hash bigint, n bigint, words binary, checkpoints binary")
-    ordered = small.repartitionByRange(parts, "doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash")
+    ordered = ids.repartitionByRange(parts, "doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash")
     (
         ordered.mapInArrow(shards, "part int, number int, tokens bigint, doc_ids array<bigint>, data binary")
         .write.option("compression", "none").parquet(f"{path}/shards")
