@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from caselake.llm.common import WORD, row_key, whole_text
 from caselake.session import new_path, written
@@ -84,8 +85,13 @@ def word_rule(content: str) -> tuple[re.Pattern, np.ndarray] | None:
     return re.compile(pattern), ends
 
 
+def id_kind(tokenizer: Tokenizer) -> np.dtype:
+    """The smaller of two and four bytes that holds every id."""
+    return np.dtype("<u2" if max(tokenizer.get_vocab().values()) < 1 << 16 else "<u4")
+
+
 class Chunks(dict):
-    """Ids (u4 bytes) per piece of text that the tokenizer treats by itself.
+    """Ids (bytes of ``kind``) per piece of text that the tokenizer treats by itself.
 
     It drops white space and nothing in it looks across, so a text's ids are those of
     its pieces in order. Plain text is cut into words as the tokenizer cuts it, and new
@@ -97,16 +103,14 @@ class Chunks(dict):
     def __init__(self, content: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.rule = word_rule(content)
+        self.rule, self.kind = word_rule(content), id_kind(self.tokenizer)
 
     def whole(self, texts: list[str]) -> Iterator[np.ndarray]:
         for start in range(0, len(texts), 4096):
             for found in self.tokenizer.encode_batch_fast(texts[start:start + 4096], add_special_tokens=False):
-                yield np.array(found.ids, "<u4")
+                yield np.array(found.ids, self.kind)
 
     def learn_words(self, new: list[str]) -> None:
         """Many words per call, told apart by the ids that end a word."""
@@ -115,7 +119,7 @@ class Chunks(dict):
             stops = np.flatnonzero(self.rule[1][ids]) + 1
             if len(stops) == len(group) and stops[-1] == len(ids):
                 data, first = ids.tobytes(), 0
-                for word, stop in zip(group, (4 * stops).tolist()):
+                for word, stop in zip(group, (self.kind.itemsize * stops).tolist()):
                     self[word] = data[first:stop]
                     first = stop
             else:
@@ -130,7 +134,7 @@ class Chunks(dict):
         return out
 
     def encode(self, bodies: list[bytes], end: bytes) -> list[bytes]:
-        """Ids of each text as u4 bytes, ``end`` after them."""
+        """Ids of each text as bytes, ``end`` after them."""
         texts = [self.pieces(body.decode()) for body in bodies]
         wanted = set().union(*texts)
         new = wanted - self.keys()
@@ -157,11 +161,10 @@ def _batches(batch: pa.RecordBatch, rows: int = 128) -> Iterator[pa.RecordBatch]
 
 
 def encoded(docs: DataFrame, content: str, spec: FileSpec) -> DataFrame:
-    """(doc_id, text_hash, ids): the ids of every text with the end id, as u4 bytes."""
-    end = np.array([spec.end_id], "<u4").tobytes()
-
+    """(doc_id, text_hash, ids): the ids of every text with the end id, as bytes."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = worker_chunks(content)
+        end = np.array([spec.end_id], chunks.kind).tobytes()
         for batch in batches:
             for part in _batches(batch):
                 ids = chunks.encode(part.column("body").to_pylist(), end)
@@ -173,13 +176,13 @@ def encoded(docs: DataFrame, content: str, spec: FileSpec) -> DataFrame:
     return bodies.mapInArrow(rows, "doc_id bigint, text_hash bigint, ids binary")
 
 
-def id_counts(ids: DataFrame) -> dict[int, int]:
+def id_counts(ids: DataFrame, kind: np.dtype) -> dict[int, int]:
     """How often every id occurs over all documents: at most one row per id is collected."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, np.int64)
         for batch in batches:
             for part in _batches(batch):
-                here = np.bincount(np.frombuffer(b"".join(part.column("ids").to_pylist()), "<u4"), minlength=len(counts))
+                here = np.bincount(np.frombuffer(b"".join(part.column("ids").to_pylist()), kind), minlength=len(counts))
                 here[:len(counts)] += counts
                 counts = here
         seen = np.nonzero(counts)[0]
@@ -323,7 +326,8 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, spec: FileSpec = FileS
         content = file.read()  # the tokenizer's file, under two megabytes, sent with the tasks
     spark = docs.sparkSession
     ids = written(encoded(docs, content, spec), "ids")
-    lengths = code_lengths(id_counts(ids), spec.limit)
+    kind = id_kind(Tokenizer.from_str(content))
+    lengths = code_lengths(id_counts(ids, kind), spec.limit)
     spark.createDataFrame(list(lengths.items()), "id bigint, bits bigint").coalesce(1).write.parquet(f"{path}/codes")
     code, bits = Codebook.of(lengths, spec.limit).for_encoding()
 
@@ -338,7 +342,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, spec: FileSpec = FileS
 
         for batch in batches:
             for part in _batches(batch):
-                texts = [np.frombuffer(own, "<u4") for own in part.column("ids").to_pylist()]
+                texts = [np.frombuffer(own, kind) for own in part.column("ids").to_pylist()]
                 for doc_id, own, out in zip(part.column("doc_id").to_pylist(), texts, pack(texts, code, bits, spec.block)):
                     doc_ids.append(doc_id)
                     rows.append((len(own), *out))
