@@ -139,3 +139,19 @@ def test_vocabulary_comes_from_training_rows_only(cases):
     model = classifier.fit_classifier(cases, SPEC)
     vocabulary = model.stages[4].vocabulary
     assert "unseen" not in vocabulary and model.transform(extra).count() == 5
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 64])
+def test_vocabulary_cut_by_histograms(spark, partitions):
+    """Ties at the cut go by term, wherever the cut lies and however the rows are dealt."""
+    rows = [(f"{'é' if i % 5 == 0 else 'w'}{i * 7919 % 1000:03d}", 1 + (i % 9) ** 2, 3 + i % 4) for i in range(900)]
+    counts = spark.createDataFrame(rows, "term string, tf bigint, df bigint").repartition(partitions)
+    able = sorted((r for r in rows if r[2] >= 4), key=lambda r: (-r[1], r[0].encode()))
+    for n in (1, 10, 75, 76, 400, len(able) - 1, len(able), len(able) + 5):
+        got = [tuple(r) for r in features.top_terms(counts, 4, n).collect()]
+        assert got == able[:n]
+
+
+def test_no_term_is_frequent_enough(spark):
+    counts = spark.createDataFrame([("a", 2, 2)], "term string, tf bigint, df bigint")
+    assert features.top_terms(counts, 3, 10).count() == 0

@@ -140,3 +140,22 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("7", "Mortgage", None)]
     with pytest.raises(ValueError, match="none of the columns"):
         landed.read_csv(spark, str(path), ["company"])
+
+
+PAGE = '{"hits": {"hits": [{"_source": {"complaint_id": "1", "product": "Mortgage"}}]}}'
+
+
+@pytest.mark.parametrize("bad", ['{"error": "too many requests"}', '{"hits": {"hits": [{"_sour', '{"hits": {}}'])
+def test_a_bad_response_fails_the_read(spark, tmp_path, bad):
+    (tmp_path / "pages.json").write_text(f"{PAGE}\n{bad}\n")
+    with pytest.raises(Exception, match="no hits|MALFORMED|FAILFAST"):
+        landed.read_responses(spark, str(tmp_path), multi_line=False).collect()
+    counted = landed.rejected_pages(spark, str(tmp_path), multi_line=False).collect()
+    assert [tuple(r) for r in counted] == [(2, 1)]
+
+
+def test_an_empty_list_of_hits_is_sound(spark, tmp_path):
+    (tmp_path / "pages.json").write_text(PAGE + '\n{"hits": {"hits": []}}\n')
+    rows = landed.read_responses(spark, str(tmp_path), multi_line=False).collect()
+    assert [r["complaint_id"] for r in rows] == ["1"]
+    assert tuple(landed.rejected_pages(spark, str(tmp_path), multi_line=False).first()) == (2, 0)

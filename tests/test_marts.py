@@ -94,3 +94,12 @@ def test_top_companies_break_ties_by_name(make_raw):
     cube = marts.case_cube(stage_cases(raw))
     assert [r["company"] for r in marts.mart_top_companies(cube).collect()] == [f"C{i:02d}" for i in range(25)]
     assert marts.mart_top_companies(cube, min_cases=11).count() == 0
+
+
+def test_any_rate_keeps_its_own_rank(spark):
+    """Null comes first and shares its rank with no number, negative ones included."""
+    pairs = spark.createDataFrame(
+        [("g", "a", None), ("g", "b", -1.0), ("g", "c", -2.0), ("g", "d", -1.0), (None, "e", 3.0)],
+        "product string, company string, pct_timely_response double")
+    got = {r["company"]: r["rank_within_category"] for r in rank_by_rate(pairs).collect()}
+    assert got == {"a": 1, "c": 2, "b": 3, "d": 3, "e": 1}
