@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import date
 
@@ -18,8 +19,8 @@ from caselake.operators.marts import (
 from caselake.operators.ranking import underperformers
 from caselake.operators.staging import stage_cases
 from caselake.schemas import CATEGORIES
-from caselake.session import written
-from caselake.sources.lake import export_table, read_lake, require_rows
+from caselake.session import new_path, written_at
+from caselake.sources.lake import publish, read_lake, remove, require_rows
 
 # Dataset names in the lake.
 FACTS = "stg_complaints"
@@ -30,16 +31,18 @@ MARTS = {
 }
 
 
-def build_tables(raw: DataFrame) -> dict[str, DataFrame]:
-    """Staged facts and the three marts.
+def build_tables(raw: DataFrame, folder: str | None = None) -> dict[str, DataFrame]:
+    """Staged facts and the three marts, each written under its name in ``folder``.
 
     Staging, the one step that shuffles texts, is written once; the marts come
     from a cube that reads three keys and three measures of it in one scan. The
-    marts, small by then, are written too: every check and the export read them.
+    marts, small by then, are written too: every check reads them. Without a ``folder``
+    it is a new one in the shared folder.
     """
-    staged = written(stage_cases(raw), "staged")
-    cube = written(case_cube(staged), "cube")
-    tables = {name: written(mart(cube), name) for name, mart in MARTS.items()}
+    folder = folder or new_path(raw.sparkSession, "build")
+    staged = written_at(stage_cases(raw), f"{folder}/{FACTS}")
+    cube = written_at(case_cube(staged), f"{folder}/cube")
+    tables = {name: written_at(mart(cube), f"{folder}/{name}") for name, mart in MARTS.items()}
     tables[FACTS] = staged
     return tables
 
@@ -48,19 +51,29 @@ def run_daily(
     raw: DataFrame, lake_root: str, run_date: str | None = None,
     categories: Sequence[str] = CATEGORIES, checks: Mapping[str, ModelChecks] | None = None,
 ) -> DataFrame:
-    """Build, check, then export; a failed check leaves the lake as it was.
+    """Build, check, then publish; a failed check or an empty table leaves the lake as it was.
 
+    All tables are written once, beside the lake, and checked there. Publishing renames
+    their folders, the facts last. Running a date again replaces that date only.
     Returns (dataset, kind, rows), one row per exported table.
     """
-    tables = build_tables(raw)
-    require_passed(run_checks(tables, checks or case_checks(categories)))
-    day = run_date or date.today().isoformat()
+    spark, root = raw.sparkSession, lake_root.rstrip("/")
+    day = date.fromisoformat(run_date).isoformat() if run_date else date.today().isoformat()
+    names, staged = [*MARTS, FACTS], f"{root}.staging-{uuid.uuid4().hex}"
+    try:
+        tables = build_tables(raw, staged)
+        require_passed(run_checks(tables, checks or case_checks(categories)))
+        empty = [name for name in names if tables[name].isEmpty()]
+        if empty:
+            raise RuntimeError(f"{', '.join(empty)}: 0 rows, refusing to export empty partitions")
+        publish(spark, staged, root, names, day)
+    finally:
+        remove(spark, staged)
     counts = [
-        (name, "mart" if name in MARTS else "fact table",
-         export_table(tables[name], lake_root, name, day))
-        for name in [*MARTS, FACTS]
+        (name, "mart" if name in MARTS else "fact table", read_lake(spark, root, name, day).count())
+        for name in names
     ]
-    return raw.sparkSession.createDataFrame(counts, "dataset string, kind string, rows bigint")
+    return spark.createDataFrame(counts, "dataset string, kind string, rows bigint")
 
 
 def lake_underperformers(spark: SparkSession, lake_root: str, run_date: str = "latest") -> DataFrame:

@@ -38,10 +38,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage with files that outlive a lost executor.
     """
-    spark = df.sparkSession
-    path = new_path(spark, name)
+    return written_at(df, new_path(df.sparkSession, name))
+
+
+def written_at(df: DataFrame, path: str) -> DataFrame:
+    """As ``written``, in a folder of the caller's choice."""
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(scan: DataFrame, key: str) -> DataFrame:

@@ -94,9 +94,14 @@ def load_raw(
     n: int = DAILY_QUOTA, date_min: str = DATE_MIN, fields: Sequence[str] = RAW_FIELDS,
     multi_line: bool = True,
 ) -> DataFrame:
-    """Landed responses to the raw table: filter, quota per category, one row per id."""
+    """Landed responses to the raw table: filter, quota per category, one row per id.
+
+    Of an id in several categories, the row of the category listed first stays.
+    """
     wanted = source_filter(read_responses(spark, path, fields, multi_line), categories, date_min)
-    return dedupe_by_id(quota_per_category(wanted, n))
+    listed = F.array_position(F.array(*map(F.lit, categories)), F.col("product"))
+    rest = [F.col(c).asc_nulls_last() for c in fields if c not in ("complaint_id", "product")]
+    return dedupe_by_id(quota_per_category(wanted, n), order=[listed, *rest])
 
 
 def replace_table(df: DataFrame, path: str) -> int:

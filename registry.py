@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -394,9 +393,7 @@ def class_weights(spark, sf_dir):
     return weights.withColumn("weight", F.round("weight", 9))
 
 
-@lru_cache(maxsize=1)
 def held_out_run(spark, sf_dir):
-    """One fit serves the three queries about it."""
     return evaluation.train_and_predict(training_rows(spark, sf_dir))
 
 

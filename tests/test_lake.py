@@ -159,3 +159,36 @@ def test_an_empty_list_of_hits_is_sound(spark, tmp_path):
     rows = landed.read_responses(spark, str(tmp_path), multi_line=False).collect()
     assert [r["complaint_id"] for r in rows] == ["1"]
     assert tuple(landed.rejected_pages(spark, str(tmp_path), multi_line=False).first()) == (2, 0)
+
+
+def test_an_empty_mart_publishes_nothing(spark, make_raw, tmp_path):
+    root = str(tmp_path / "lake")
+    with pytest.raises(RuntimeError, match="mart_top_companies: 0 rows"):
+        daily.run_daily(make_raw(*[{} for _ in range(6)]), root, "2024-03-01")
+    assert os.listdir(tmp_path) == []
+
+
+def test_a_failed_move_is_taken_back(spark, make_raw, tmp_path):
+    root, staged = str(tmp_path / "lake"), str(tmp_path / "staged")
+    lake.export_table(make_raw({}), root, "one", "2024-03-01")
+    make_raw({}, {}).write.parquet(f"{staged}/one")
+    with pytest.raises(Exception, match="two"):
+        lake.publish(spark, staged, root, ["one", "two"], "2024-03-01")
+    assert lake.read_lake(spark, root, "one").count() == 1
+    assert spark.read.parquet(f"{staged}/one").count() == 2
+
+
+def test_only_dates_are_snapshots(spark, make_raw, tmp_path):
+    lake.export_table(make_raw({}), str(tmp_path), "t", "2024-03-01")
+    for name in ("run_date=__HIVE_DEFAULT_PARTITION__", "run_date=later", "_temporary"):
+        (tmp_path / "t" / name).mkdir()
+    assert lake.snapshot_dates(spark, str(tmp_path), "t") == ["2024-03-01"]
+
+
+def test_of_an_id_in_two_categories_the_first_listed_stays(spark, tmp_path):
+    hits = [{"_source": {"complaint_id": "1", "product": product, "date_received": "2024-05-01",
+                         "complaint_what_happened": "text"}} for product in ("A", "B")]
+    (tmp_path / "p.json").write_text(json.dumps({"hits": {"hits": hits}}))
+    for first, second in (("A", "B"), ("B", "A")):
+        rows = landed.load_raw(spark, str(tmp_path), [first, second]).collect()
+        assert [r["product"] for r in rows] == [first]
