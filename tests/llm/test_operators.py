@@ -481,3 +481,21 @@ def test_pipeline_against_brute_force(spark):
     assert set(mixed) <= set(clean)
     last = corpus_pipeline.STAGES[4][1](spark, docs, sf).collect()
     assert len(last) == docs.count() and all(r["exact"] for r in last)
+
+
+def test_bpe_split_at_blanks_and_short_pieces():
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        encode = bpe.Encoder(file.read(), public_tokenizers.PATTERN)
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=encode.ranks, special_tokens={})
+    parts = ["a", "b", "the", "é", "  ", " ", "\n", "\t", "\xa0", "\r\n", "\x1c", "\x85", "　", "​",
+             "23", ".", "'s", "'", "漢字", "\U0001d54f", "-", "ing"]
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(parts, rng.integers(0, 14))) for _ in range(5000)]
+    texts += ["a" * n for n in (1, 2, 31, 32, 33, 63, 64, 65, 1000)]
+    expected = [plain.encode_ordinary(text) for text in texts]
+    assert [ids.tolist() for ids in encode.together(texts)] == expected
+    encode.forget()
+    assert [encode(text) for text in texts] == expected
+    whole = bpe.Encoder(b"\n".join(base64.b64encode(t) + b" %d" % r for t, r in encode.ranks.items()),
+                        public_tokenizers.PATTERN + "|x{0}y")
+    assert not whole.by_blanks and [whole(text) for text in texts[:500]] == expected[:500]
