@@ -7,8 +7,10 @@ and W words in all, the disclosure is PMI(e; t) / IC(e), where PMI is
 log2(n(e, t) * W / (n(e) * n(t))) and IC(e) is log2(W / n(e)). It is 1 for a term
 met only beside e. Terms at or over ``generalise_at`` are generalised, those at or
 over ``remove_at`` removed, wherever they stand. A context is a few words on both
-sides; a pair needs several that differ in most words, so copies and near copies of one
-passage prove nothing.
+sides. A pair needs several that differ, and so do the passages, some more words on both
+sides: taken one by one, each counts that shares at most half of its words with each one
+counted before. So copies and near copies of one passage prove nothing, and further
+contexts never speak against a pair.
 Only DataFrame functions are used.
 
 Defined results: a null or empty text has no spans and stays as it is; null ids and
@@ -43,14 +45,13 @@ EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~¿¡«»„“”‘’…–—"
 
 @dataclass(frozen=True)
 class Disclosure:
-    """``min_contexts``: different contexts of an entity in which a term must stand;
-    ``min_variety``: different terms per different context of an entity, below which they
-    are one passage with edits. ``slots`` is the size of the prefilter bitmap; it only
-    saves work."""
+    """``min_contexts``: different contexts, and different passages, of an entity in which
+    a term must stand; ``context_words`` and ``passage_words``: words of them on each side.
+    ``slots`` is the size of the prefilter bitmap; it only saves work."""
 
     context_words: int = 4
+    passage_words: int = 12
     min_contexts: int = 3
-    min_variety: float = 4.0
     generalise_at: float = 0.9
     remove_at: float = 0.97
     slots: int = 1 << 17
@@ -120,17 +121,20 @@ def _term(word: Column) -> Column:
     return F.btrim(F.lower(word), F.lit(EDGES))
 
 
-def _contexts(spanned: DataFrame, width: int) -> DataFrame:
-    """(entity, context): the words on both sides of every match that is a span."""
+def _contexts(spanned: DataFrame, how: Disclosure) -> DataFrame:
+    """(entity, context, passage): the words on both sides of every match that is a span,
+    and hashes of the different terms of the passage, in order."""
 
     def around(kind: str) -> Column:
         gaps = F.col(f"_g_{kind}")
 
         def one(value: Column, i: Column) -> Column:
-            before = F.slice(F.reverse(words_of(F.get(gaps, i))), 1, width)
-            after = F.slice(words_of(F.get(gaps, i + 1)), 1, width)
-            return F.struct(F.concat(F.lit(f"{kind}:"), value).alias("entity"),
-                            F.concat(before, after).alias("context"))
+            before = F.slice(F.reverse(words_of(F.get(gaps, i))), 1, how.passage_words)
+            after = F.slice(words_of(F.get(gaps, i + 1)), 1, how.passage_words)
+            near = F.concat(F.slice(before, 1, how.context_words), F.slice(after, 1, how.context_words))
+            terms = F.filter(F.transform(F.concat(before, after), _term), lambda t: t != "")
+            return F.struct(F.concat(F.lit(f"{kind}:"), value).alias("entity"), near.alias("context"),
+                            F.sort_array(F.array_distinct(F.transform(terms, lambda t: F.xxhash64(t)))).alias("passage"))
 
         values = F.transform(F.filter("spans", lambda s: s["kind"] == kind), lambda s: s["value"])
         return F.filter(F.transform(f"_m_{kind}", one),
@@ -139,6 +143,22 @@ def _contexts(spanned: DataFrame, width: int) -> DataFrame:
     return spanned.filter(F.size("spans") > 0).select(F.inline(F.concat(*[around(k) for k in KINDS])))
 
 
+def _in_different_passages(rows: DataFrame, least: int) -> DataFrame:
+    """(entity, term): those of ``rows`` (entity, term, passage) with ``least`` passages that
+    pairwise share at most half of their other words.
+
+    Each round takes one passage per pair, the least one, and leaves only those that differ
+    from it, so rounds are as many as passages needed, however many there are.
+    """
+    rest = written(rows.filter(F.size("passage") > 1).distinct(), "passages")
+    for _ in range(least - 1):
+        taken = rest.groupBy("entity", "term").agg(F.min("passage").alias("taken"))
+        shared = F.size(F.array_intersect("passage", "taken")) - 1
+        others = F.least(F.size("passage"), F.size("taken")) - 1
+        rest = written(rest.join(taken, ["entity", "term"]).filter(shared * 2 <= others).drop("taken"), "passages")
+    return rest.select("entity", "term").distinct()
+
+
 def disclosing_terms(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFrame:
     """(term, disclosure): terms of ``docs`` (doc_id, text) that reach ``generalise_at``.
 
@@ -147,8 +167,8 @@ def disclosing_terms(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFra
     those terms, sends only them (and rare chance hits) through the shuffle.
     """
     bodies = docs.select(whole_text().alias("body"))
-    contexts = written(_contexts(with_spans(bodies), how.context_words), "contexts")
-    held = contexts.select("entity", F.xxhash64("context").alias("where"),
+    contexts = written(_contexts(with_spans(bodies), how), "contexts")
+    held = contexts.select("entity", "passage", F.xxhash64("context").alias("where"),
                            F.explode(F.transform("context", _term)).alias("term"))
     words_only = F.col("term").rlike(r"^\p{L}[\p{L}\p{M}'’-]+\p{L}$")
     pairs = (
@@ -157,11 +177,7 @@ def disclosing_terms(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFra
         .filter(F.col("places") >= how.min_contexts)
     )
     times = contexts.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    seen = contexts.select("entity", F.xxhash64("context").alias("where")).distinct().groupBy("entity").agg(
-        F.count(F.lit(1)).alias("n_places"))
-    varied = held.select("entity", "term").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_terms"))
-    varied = varied.join(seen, "entity").filter(F.col("n_terms") >= F.col("n_places") * how.min_variety)
-    pairs = written(pairs.join(times, "entity").join(varied, "entity", "left_semi"), "beside")
+    pairs = written(pairs.join(times, "entity"), "beside")
     slot = F.pmod(F.xxhash64("term"), F.lit(how.slots))
     taken = [r["slot"] for r in pairs.select(slot.alias("slot")).distinct().collect()]  # at most ``slots``
     if not taken:
@@ -174,9 +190,12 @@ def disclosing_terms(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFra
     joined = pairs.join(counts, "term")
     content = F.log2(F.lit(total) / F.col("n_entity"))
     shared = F.log2(F.col("n_both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term")))
+    close = joined.select("entity", "term", (shared / content).alias("disclosure"))
+    close = written(close.filter(F.col("disclosure") >= how.generalise_at), "close")
+    rows = held.select("entity", "term", "passage").join(close.select("entity", "term"), ["entity", "term"])
     return (
-        joined.groupBy("term").agg(F.max(shared / content).alias("disclosure"))
-        .filter(F.col("disclosure") >= how.generalise_at)
+        close.join(_in_different_passages(rows, how.min_contexts), ["entity", "term"])
+        .groupBy("term").agg(F.max("disclosure").alias("disclosure"))
     )
 
 

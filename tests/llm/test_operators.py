@@ -118,6 +118,17 @@ def test_edits_of_one_passage_disclose_nothing(spark):
     assert pii.disclosing_terms(spark.createDataFrame(rows, "doc_id bigint, text string")).isEmpty()
 
 
+def test_often_mentioned_and_signing_entities_are_disclosed(spark):
+    rng = random.Random(5)
+    some = lambda n: " ".join(f"w{int(rng.paretovariate(0.7)) % 900}" for _ in range(n))
+    rows = [(i, f"{some(14)} Zorblatt {some(1)} x@y.example {some(14)}") for i in range(5000)]
+    rows += [(10_000 + i, f"{some(20)} Best regards, Quexley q@y.example") for i in range(40)]
+    rows += [(20_000 + i, f"one two{i} three Blimfort b@y.example four{i} five six") for i in range(400)]
+    rows += [(30_000 + i, some(30) + " best regards") for i in range(8000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {"zorblatt", "quexley"} == {r["term"] for r in pii.disclosing_terms(docs).collect()}
+
+
 # Token files
 
 def test_token_files_query(spark, texts):
