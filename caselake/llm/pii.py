@@ -6,7 +6,8 @@ corpus: with n(e, t) occurrences of t in contexts of e, n(e) of e, n(t) of t
 and W words in all, the disclosure is PMI(e; t) / IC(e), where PMI is
 log2(n(e, t) * W / (n(e) * n(t))) and IC(e) is log2(W / n(e)). It is 1 for a term
 met only beside e. Terms at or over ``generalise_at`` are generalised, those at or
-over ``remove_at`` removed, wherever they stand. A context is a few words on both
+over ``remove_at`` removed, wherever they stand. A term is any word without the signs at
+its edges, unless it is a base span itself. A context is a few words on both
 sides. A pair needs several that differ, and so do the passages, some more words on both
 sides: taken one by one, each counts that shares at most half of its words with each one
 counted before. So copies and near copies of one passage prove nothing, and further
@@ -170,12 +171,13 @@ def disclosing_terms(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFra
     contexts = written(_contexts(with_spans(bodies), how), "contexts")
     held = contexts.select("entity", "passage", F.xxhash64("context").alias("where"),
                            F.explode(F.transform("context", _term)).alias("term"))
-    words_only = F.col("term").rlike(r"^\p{L}[\p{L}\p{M}'’-]+\p{L}$")
     pairs = (
-        held.filter(words_only).groupBy("entity", "term", "where").agg(F.count(F.lit(1)).alias("n"))
+        held.filter(F.col("term") != "").groupBy("entity", "term", "where").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("places"))
         .filter(F.col("places") >= how.min_contexts)
     )
+    whole = F.exists("spans", lambda s: (s["start"] == 0) & (s["end"] == F.length("term")))
+    pairs = with_spans(pairs, "term").filter(~whole).select(*pairs.columns)
     times = contexts.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     pairs = written(pairs.join(times, "entity"), "beside")
     slot = F.pmod(F.xxhash64("term"), F.lit(how.slots))
@@ -214,8 +216,9 @@ def term_spans(docs: DataFrame, terms: DataFrame, how: Disclosure = Disclosure()
         words.filter(slot_test(slot, taken, how.slots)).distinct().join(terms, "term")
         .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("term", "disclosure")).alias("terms"))
     )
-    quoted = F.transform("terms", lambda t: F.concat(F.lit(r"\Q"), t["term"], F.lit(r"\E")))
-    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(F.reverse(F.sort_array(quoted)), "|"),
+    longest_first = F.reverse(F.sort_array(F.transform("terms", lambda t: t["term"])))  # of those that begin alike
+    quoted = F.transform(longest_first, lambda t: F.concat(F.lit(r"\Q"), t, F.lit(r"\E")))
+    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(quoted, "|"),
                        F.lit(r")(?![\p{L}\p{N}])"))
     bodies = by_row(hits, keyed.dropDuplicates(["doc_id", "text_hash"]), "inner").withColumn("pattern", pattern)
     cut = bodies.select("doc_id", "text_hash", "terms",

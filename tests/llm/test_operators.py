@@ -129,6 +129,27 @@ def test_often_mentioned_and_signing_entities_are_disclosed(spark):
     assert {"zorblatt", "quexley"} == {r["term"] for r in pii.disclosing_terms(docs).collect()}
 
 
+@pytest.mark.parametrize("name", ["jdoe42", "EMP-4711", "Li", "李伟", "j_d", "4711"])
+def test_every_form_of_term_is_measured(spark, name):
+    near = ["we saw {} write from {} yesterday evening quietly", "letter that {} sent {} after lunch today",
+            "nobody but {} answers {} during long holidays", "please ask {} or mail {} about every invoice"]
+    rows = [(i, t.format(name, "jim@corp.example.com")) for i, t in enumerate(near)]
+    rows += [(10 + i, f"a{i} b{i} c{i} d{i} 192.168.0.7 e@f.example f{i} g{i}") for i in range(4)]  # spans both
+    rows += [(100 + i, f"some common words number {i} that are found all over this small corpus") for i in range(400)]
+    rows += [(900, f"once more {name}, and {name}!")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert [r["term"] for r in pii.disclosing_terms(docs).collect()] == [name.lower()]
+    added = {r["doc_id"]: [s["value"] for s in r["added"]] for r in pii.find(docs).collect()}
+    assert added[0] == [name] and added[900] == [name, name] and added[10] == []
+
+
+def test_longer_terms_are_replaced_before_their_beginnings(spark):
+    docs = spark.createDataFrame([(1, "see EMP and EMP-4711 there")], "doc_id bigint, text string")
+    terms = spark.createDataFrame([("emp", 1.0), ("emp-4711", 1.0)], "term string, disclosure double")
+    spans = pii.term_spans(docs, terms).first()["term_spans"]
+    assert [s["value"] for s in spans] == ["EMP", "EMP-4711"]
+
+
 # Token files
 
 def test_token_files_query(spark, texts):
