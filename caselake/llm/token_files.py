@@ -96,20 +96,28 @@ class Chunks(dict):
     It drops white space and nothing in it looks across, so a text's ids are those of
     its pieces in order. Plain text is cut into words as the tokenizer cuts it, and new
     words go to it many at a time. In any other text that is done for the plain runs
-    between ASCII white space; the other runs go to the tokenizer whole. Emptied when it
-    holds ``CACHE`` pieces.
+    between ASCII white space; the other runs go to the tokenizer whole. A run that holds
+    the text of an added token goes whole to the tokenizer as the library sets it up, which
+    gives such a text its own id; its piece begins with a blank, since an equal word of
+    other text (made so by lower case) is ordinary text. Emptied when it holds ``CACHE``
+    pieces.
     """
 
     def __init__(self, content: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(content)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.tokenizer.encode_special_tokens = True  # for pieces that hold none
+        self.default = Tokenizer.from_str(content)
         self.rule, self.kind = word_rule(content), id_kind(self.tokenizer)
+        tokens = json.loads(content).get("added_tokens", [])
+        self.added = [t["content"] for t in tokens]
+        # Found in the raw text and inside runs; otherwise no text can be cut.
+        self.cuts = not any(t["normalized"] or not RUN.fullmatch(t["content"]) for t in tokens)
 
-    def whole(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def whole(self, texts: list[str], tokenizer: Tokenizer | None = None) -> Iterator[np.ndarray]:
         for start in range(0, len(texts), 4096):
-            for found in self.tokenizer.encode_batch_fast(texts[start:start + 4096], add_special_tokens=False):
+            for found in (tokenizer or self.tokenizer).encode_batch_fast(texts[start:start + 4096], add_special_tokens=False):
                 yield np.array(found.ids, self.kind)
 
     def learn_words(self, new: list[str]) -> None:
@@ -125,12 +133,21 @@ class Chunks(dict):
             else:
                 self.update((word, own.tobytes()) for word, own in zip(group, self.whole(group)))
 
+    def holds_added(self, text: str) -> bool:
+        return any(token in text for token in self.added)
+
     def pieces(self, text: str) -> list[str]:
-        if self.rule and PLAIN.fullmatch(text):
+        if not self.cuts:
+            return [f" {text}"]
+        held = self.holds_added(text)
+        if self.rule and not held and PLAIN.fullmatch(text):
             return self.rule[0].findall(text.lower())
         out = []
         for run in RUN.findall(text):
-            out += self.rule[0].findall(run.lower()) if self.rule and PLAIN.fullmatch(run) else [run]
+            if held and self.holds_added(run):
+                out.append(f" {run}")
+            else:
+                out += self.rule[0].findall(run.lower()) if self.rule and PLAIN.fullmatch(run) else [run]
         return out
 
     def encode(self, bodies: list[bytes], end: bytes) -> list[bytes]:
@@ -141,9 +158,11 @@ class Chunks(dict):
         if len(self) + len(new) > CACHE:
             self.clear()
             new = wanted
-        words = [piece for piece in new if self.rule and PLAIN.fullmatch(piece)]
-        others = list(new.difference(words))
+        held = [piece for piece in new if piece.startswith(" ")]
+        words = [piece for piece in new.difference(held) if self.rule and PLAIN.fullmatch(piece)]
+        others = list(new.difference(held, words))
         self.learn_words(words)
+        self.update((run, own.tobytes()) for run, own in zip(held, self.whole([h[1:] for h in held], self.default)))
         self.update((run, own.tobytes()) for run, own in zip(others, self.whole(others)))
         get = self.__getitem__
         return [b"".join(map(get, pieces)) + end for pieces in texts]

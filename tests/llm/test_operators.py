@@ -162,6 +162,18 @@ def test_token_files_query(spark, texts):
         start += len(ids)
 
 
+def test_added_tokens_in_texts_get_the_ids_of_the_library():
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        content = file.read()
+    tokenizer, chunks = Tokenizer.from_str(content), token_files.Chunks(content)
+    rng = random.Random(4)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext|", "endoftext", "plain Words, here", "\u0416\u0130é", " ", "\n", "x", "\u2003"]
+    texts = ["end <|endoftext|> of it", "plain words before", "a<|endoftext|>b\u0416", *("".join(rng.choices(parts, k=9)) for _ in range(3000))]
+    end = np.array([2], chunks.kind).tobytes()
+    for text, ids in zip(texts, chunks.encode([t.encode() for t in texts], end)):
+        assert np.frombuffer(ids, chunks.kind).tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], text
+
+
 @pytest.mark.parametrize("limit", [4, 5, 6, 16])
 def test_code_is_complete_and_limited(limit):
     counts = {i: random.Random(i).randint(1, 9) ** 6 for i in range(15)}
