@@ -19,6 +19,7 @@ and ``html`` are read, so other columns never clash.
 
 from __future__ import annotations
 
+import html
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,7 +34,6 @@ from caselake.session import written
 SILENT = r"(?is)<!--.*?-->|<(script|style|head|noscript|template)\b.*?</\1\s*>"
 TAG = r"(?s)<[^>]*>"
 DECLARED = r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})\b"
-REFERENCES = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&nbsp;": " "}
 
 
 @dataclass(frozen=True)
@@ -49,10 +49,13 @@ class LanguageSpec:
 
 
 def visible_text(page: Column) -> Column:
-    text = F.regexp_replace(F.regexp_replace(page, SILENT, " "), TAG, " ")
-    for mark, character in REFERENCES.items():
-        text = F.replace(text, F.lit(mark), F.lit(character))
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    """The text between the tags, its character references not decoded yet."""
+    return F.regexp_replace(F.regexp_replace(page, SILENT, " "), TAG, " ")
+
+
+def decoded(text: str) -> str:
+    """``text`` with all character references decoded and white space as single blanks."""
+    return " ".join(html.unescape(text).split())
 
 
 def trigram_slots(text: str, buckets: int) -> np.ndarray:
@@ -119,7 +122,7 @@ def described(pages: DataFrame, model: TextModel, spec: LanguageSpec) -> DataFra
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            logs = [model.likelihoods(t) for t in batch.column("visible").to_pylist()]
+            logs = [model.likelihoods(decoded(t)) for t in batch.column("visible").to_pylist()]
             best = [int(np.argmax(x)) if len(x) and x.any() else None for x in logs]
             ends = np.arange(len(logs) + 1, dtype=np.int32) * len(model.languages)
             flat = np.concatenate([np.empty(0), *logs]) * spec.text_weight

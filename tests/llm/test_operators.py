@@ -285,6 +285,19 @@ def test_language_edge_cases(spark):
     assert {r["lang"] for r in language.identify(pages, blank).collect()} == {None}
 
 
+def test_language_of_pages_written_in_references(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language.fit_text_model(docs)
+    text = max((r["text"] for r in docs.filter("length(text) < 2000").collect()), key=len)
+    written = ["".join(form(c) for c in text) for form in (str, lambda c: f"&#{ord(c)};", lambda c: f"&#x{ord(c):x};")]
+    rows = [(i, None, f"<p>{t.replace('<', '&lt;') if not i else t}</p>") for i, t in enumerate(written)]
+    rows.append((3, None, "<p>&copy; &middot; &nbsp;</p>"))
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r["page_id"]: r for r in language.described(pages, model, language.LanguageSpec()).collect()}
+    assert got[0]["own"] is not None and got[3]["own"] is None
+    assert got[1]["text_logs"] == got[2]["text_logs"] == pytest.approx(got[0]["text_logs"])
+
+
 # Pages
 
 def test_html_query(spark):
