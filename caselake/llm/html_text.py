@@ -1,7 +1,7 @@
 """Main text of web pages by a recurrent block labeller.
 
 A page becomes its sequence of leaf blocks. A block is described by hashed elements of
-its tag path (tag, class and id words), hashed words and a few figures. A bidirectional
+its tag path (tag, class and id words), all of its words, hashed, and a few figures. A bidirectional
 LSTM in numpy reads the sequence both ways, so every block is judged with the whole
 page around it, and labels it as main text or not.
 
@@ -9,7 +9,8 @@ The model is trained when asked for, on ``sample_pages`` pages chosen by hash, t
 sample. Their labels come from the markup's meaning (inside article or main, not in a
 menu, form or the like); each page is also varied: kinds of boilerplate and of content
 containers that the sample may lack are put in, filled with words of the sample, so
-that structure and not vocabulary decides.
+that structure decides where it tells. Where it does not, wording does: notices, adverts,
+sign-up lines and comments, and plain sentences, stand in the same untelling tags.
 
 Defined results: null or empty html, or a page without main text, gives an empty text;
 null ids and urls stay null; repeated rows are extracted repeatedly; an empty table
@@ -49,7 +50,7 @@ TOKEN = re.compile(
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 NAME_WORD = re.compile(r"[a-z]+")
 
-PATH_DIMS, WORD_DIMS, FIGURES = 128, 24, 8
+PATH_DIMS, WORD_DIMS, FIGURES = 128, 512, 8
 DIMS = PATH_DIMS + WORD_DIMS + FIGURES
 
 
@@ -115,6 +116,9 @@ def blocks(page: str) -> list[Block]:
     return [b for b in out if "head" not in (p.split(" ")[0] for p in b.path)]
 
 
+EDGES = "!\"'(),-.:;?[]{}¿¡«»„“”‘’…–—"
+
+
 def _slot(word: str, dims: int) -> tuple[int, float]:
     h = zlib.crc32(word.encode("utf-8"))
     return h % dims, 1.0 if h >> 31 else -1.0
@@ -125,6 +129,20 @@ class Features:
 
     def __init__(self) -> None:
         self.paths: dict[tuple[str, ...], np.ndarray] = {}
+        self.words: dict[str, tuple[int, float]] = {}
+
+    def text(self, words: Sequence[str]) -> np.ndarray:
+        """Sum over all words, by the root of their number."""
+        known = self.words
+        if len(known) > 200_000:
+            known.clear()
+        out = np.zeros(WORD_DIMS, np.float32)
+        for word in words:
+            hit = known.get(word)
+            if hit is None:
+                hit = known[word] = _slot(word.lower().strip(EDGES), WORD_DIMS)
+            out[hit[0]] += hit[1]
+        return out / np.sqrt(np.float32(len(words)))
 
     def path(self, path: tuple[str, ...]) -> np.ndarray:
         known = self.paths.get(path)
@@ -147,9 +165,7 @@ class Features:
             words = b.text.split(" ")
             row = out[i]
             row[:PATH_DIMS] = self.path(b.path)
-            for w in words[:1] + words[-1:]:
-                at, sign = _slot(w, WORD_DIMS)
-                row[PATH_DIMS + at] += sign * 0.5
+            row[PATH_DIMS:PATH_DIMS + WORD_DIMS] = self.text(words)
             n = len(b.text)
             row[-FIGURES:] = (
                 np.log1p(n) / 6, np.log1p(len(words)) / 4, min(1.0, b.links / n), b.text[-1] in ".!?…\"»”",
@@ -292,6 +308,41 @@ MAIN_SHAPES = (("article",), ("main",), ("main", "article"), ("div .content",),
 CONTENT_TAGS = ("p", "p", "p", "p", "ul/li", "h2", "h3", "blockquote", "pre", "ul/li", "ol/li", "table/tr/td", "section/p", "div", "figure/figcaption")
 
 
+UNTELLING_SHAPES = (("p",), ("p",), ("div",), ("div", "p"), ("section", "p"), ("div .box", "p"), ("div .block",), ("li",))
+BOILER_WORDING = tuple("""
+We use cookies to improve your experience on this site|By continuing you accept our cookie policy
+Accept all cookies or change your privacy settings|This website uses cookies and similar technologies
+Sign up for our newsletter and never miss a story|Subscribe now and get our best offers by email
+Enter your email address to subscribe|Create a free account or log in to continue reading
+Advertisement: buy now and save on your first order|Shop our sale today, free shipping on all orders
+Sponsored content, limited offer, click here for the best price|Download our app for free today
+Great post, thanks for sharing|I totally agree with this comment, thanks|Posted by a reader, reply to this comment
+Leave a comment, log in to reply|Share this article on social media|Follow us for more news and offers
+All rights reserved, read our terms and privacy policy|Related articles you may also like
+Wir verwenden Cookies, um unsere Website zu verbessern|Alle Cookies akzeptieren oder Einstellungen ändern
+Jetzt unseren Newsletter abonnieren und nichts verpassen|Anzeige: jetzt kaufen und sparen, kostenloser Versand
+Danke für den tollen Beitrag, ich stimme zu|Melden Sie sich an, um zu kommentieren|Alle Rechte vorbehalten, Datenschutz
+Nous utilisons des cookies pour améliorer votre expérience|Accepter tous les cookies ou modifier les paramètres
+Inscrivez-vous à notre newsletter gratuite|Publicité: achetez maintenant, livraison gratuite
+Merci pour cet article, je suis d'accord|Connectez-vous pour laisser un commentaire|Tous droits réservés
+Usamos cookies para mejorar su experiencia en este sitio|Aceptar todas las cookies o cambiar la configuración
+Suscríbase a nuestro boletín gratuito|Publicidad: compre ahora, envío gratis y las mejores ofertas
+Gracias por compartir, estoy de acuerdo|Inicie sesión para dejar un comentario|Todos los derechos reservados
+""".strip().replace("\n", "|").split("|"))
+PLAIN_WORDING = tuple("""
+The river rose in the night and the bridge was closed until morning|She walked to the station and waited for the train
+The council met on Monday to discuss the plan for the old harbour|In the spring the farmers plant their fields by hand
+We found the letters in a box under the stairs of our house|He read the book twice and wrote a long answer to his brother
+The team won by two goals after a slow first half|Scientists measured the ice on the lake for ten years
+Der Fluss stieg in der Nacht und die Brücke blieb gesperrt|Sie ging zum Bahnhof und wartete auf den Zug
+Der Rat sprach am Montag über den alten Hafen|Wir fanden die Briefe in einer Kiste unter der Treppe
+La rivière est montée dans la nuit et le pont est resté fermé|Elle marcha vers la gare et attendit le train
+Le conseil a parlé lundi du vieux port|Nous avons trouvé les lettres dans une boîte sous l'escalier
+El río subió en la noche y el puente quedó cerrado|Ella caminó a la estación y esperó el tren
+El consejo habló el lunes del viejo puerto|Encontramos las cartas en una caja bajo la escalera
+""".strip().replace("\n", "|").split("|"))
+
+
 def is_boiler(path: Sequence[str]) -> bool:
     for element in path:
         tag, *names = element.split(" ")
@@ -323,6 +374,13 @@ def varied(page: Sequence[Block], texts: Sequence[str], rng: np.random.Generator
             out.append(Block(where + form, text, len(text) if rng.random() < 0.3 else 0))
             truth.append(0.0)
 
+    def say(where: tuple[str, ...], wording: Sequence[str], main: float) -> None:
+        said = [wording[i] for i in rng.integers(len(wording), size=int(rng.integers(1, 4)))]
+        words = [w for w in ". ".join(said).split(" ") if rng.random() < 0.9] or said[0].split(" ")
+        form = UNTELLING_SHAPES[rng.integers(len(UNTELLING_SHAPES))]
+        out.append(Block(where + form, " ".join(words) + ("." if rng.random() < 0.7 else ""), 0))
+        truth.append(main)
+
     base = ("html", "body")
     wrap = base + (("div .wrapper",) if rng.random() < 0.4 else ())
     if rng.random() < 0.8:
@@ -335,6 +393,10 @@ def varied(page: Sequence[Block], texts: Sequence[str], rng: np.random.Generator
             truth.append(1.0)
             if rng.random() < 0.2:
                 add(wrap + shape)
+            if rng.random() < 0.15:
+                say(wrap + shape, BOILER_WORDING, 0.0)
+            if rng.random() < 0.15:
+                say(wrap + shape, PLAIN_WORDING, 1.0)
         elif rng.random() < 0.6:
             out.append(block)
             truth.append(0.0)

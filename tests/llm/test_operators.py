@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import html
 import random
 import re
 import zlib
@@ -323,6 +324,23 @@ def test_labeller_knows_other_page_shapes(spark):
     assert wrong <= 0.03 * n
 
 
+def test_wording_decides_where_the_markup_is_equal(spark):
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    model, features = html_text.train(pages), html_text.Features()
+    boiler = ["This site uses cookies, please accept our privacy policy.", "Subscribe to our free newsletter by email today.",
+              "Buy now: free shipping on our best offers.", "Thanks for sharing this great article, I agree.",
+              "Unsere Website verwendet Cookies, bitte akzeptieren.", "Merci, laisser un commentaire."]
+    main = ["The train waited at the bridge until the night was over.", "The farmers wrote letters to the council in spring.",
+            "Ten years ago the lake rose and the harbour closed.", "Her brother found an old book in the house.",
+            "Die Briefe blieben in der Nacht unter der Brücke.", "Le train est resté dans la gare."]
+    whole = [b.text for p in pages for b, ok in zip(html_text.blocks(p), html_text.labels(html_text.blocks(p))) if ok]
+    for said, others in ((boiler, main), (main, boiler)):
+        for i, text in enumerate(said):
+            page = "<html><body><article>" + "".join(f"<p>{html.escape(t)}</p>" for t in (*whole[i:i + 3], text, *whole[i + 3:i + 6])) + "</article></body></html>"
+            kept = html_text.main_texts([page], model, features)[0]
+            assert (text in kept) == (said is main), text
+
+
 def test_html_edge_cases(spark):
     rows = [(1, "u", None), (2, None, ""), (None, None, "<p>"), (3, "u", "<div><script>x<p>y"), (3, "u", "<p>" * 3000)]
     pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id bigint, url string, html string, text string")
