@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselake.llm import bloom_lm, bpe, html_text, jaccard, language, mixing, pii, quality, simhash, token_files
+from caselake.llm import (
+    bloom_lm, bpe, html_text, jaccard, language, mixing, pii, quality, simhash, token_files, word_bpe,
+)
 from caselake.llm.common import table
 
 
@@ -83,6 +85,11 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_groups(docs, jaccard.JaccardSpec(words=3, num=90, den=100))
 
 
+def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return word_bpe.digests(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_sanitisation": op1_pii_sanitisation,
     "op2_token_files": op2_token_files,
@@ -94,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op12_word_bpe": op12_word_bpe,
 }
 
 #: Queries with a SQL counterpart.
