@@ -31,7 +31,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -271,16 +271,17 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]
         start = stop
 
 
-def _packed(docs: DataFrame, replaced: str) -> tuple[DataFrame, str]:
-    """All columns but ``replaced`` as one struct, so that no name can clash; its type."""
-    packed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns if c != replaced]).alias("doc"), "*")
+def _packed(docs: DataFrame, replaced: str, read: Column) -> tuple[DataFrame, str]:
+    """All columns but ``replaced`` as one struct, so that no name can clash, with the
+    column to be read; the struct's type."""
+    packed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns if c != replaced]).alias("doc"), read)
     return packed, packed.schema["doc"].dataType.simpleString()
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """``docs`` with ``ids``, an array of int; a column of that name is replaced."""
     content = _content(path)
-    packed, kind = _packed(docs, "ids")
+    packed, kind = _packed(docs, "ids", whole_text().alias("body"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = worker_encoder(content)
@@ -292,14 +293,14 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                                                  pa.array(np.frombuffer(b"".join(ids), ID).astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column("doc"), lists], ["doc", "ids"])
 
-    found = packed.select("doc", whole_text().alias("body")).mapInArrow(rows, f"doc {kind}, ids array<int>")
-    return found.select("doc.*", "ids")
+    return packed.mapInArrow(rows, f"doc {kind}, ids array<int>").select("doc.*", "ids")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` with ``decoded``, the text of its ``ids``; null ids give the empty text."""
     content = _content(path)
-    packed, kind = _packed(encoded, "decoded")
+    own = F.coalesce("ids", F.array().cast("array<int>")).alias("own")
+    packed, kind = _packed(encoded, "decoded", own)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = worker_encoder(content)
@@ -309,8 +310,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 texts = [run.decode(ids) for ids in part.column("own").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("doc"), pa.array(texts, pa.string())], ["doc", "decoded"])
 
-    own = F.coalesce("ids", F.array().cast("array<int>")).alias("own")
-    return packed.select("doc", own).mapInArrow(rows, f"doc {kind}, decoded string").select("doc.*", "decoded")
+    return packed.mapInArrow(rows, f"doc {kind}, decoded string").select("doc.*", "decoded")
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
