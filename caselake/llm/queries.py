@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselake.llm import (
-    bloom_lm, bpe, html_text, jaccard, language, mixing, pii, quality, simhash, token_files, word_bpe,
+    bloom_lm, bpe, html_text, jaccard, language, mixing, pii, quality, simhash, spelling, text_oracles, token_files,
+    word_bpe,
 )
 from caselake.llm.common import table
 
@@ -85,6 +86,11 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_groups(docs, jaccard.JaccardSpec(words=3, num=90, den=100))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variant_groups(docs, spelling.SpellingSpec(drop_every=97))
+
+
 def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return word_bpe.digests(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -101,8 +107,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_word_bpe": op12_word_bpe,
 }
 
 #: Queries with a SQL counterpart.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_spelling_variants": text_oracles.SPELLING}
