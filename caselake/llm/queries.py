@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselake.llm import (
-    bloom_lm, bpe, html_text, jaccard, language, mixing, pii, quality, simhash, spelling, text_oracles, token_files,
-    word_bpe,
+    bloom_lm, bpe, collocations, html_text, jaccard, language, mixing, pii, quality, simhash, spelling,
+    text_oracles, token_files, word_bpe,
 )
 from caselake.llm.common import table
 
@@ -96,6 +96,10 @@ def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.digests(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_sanitisation": op1_pii_sanitisation,
     "op2_token_files": op2_token_files,
@@ -109,7 +113,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_word_bpe": op12_word_bpe,
+    "op13_collocations": op13_collocations,
 }
 
 #: Queries with a SQL counterpart.
-ORACLES: dict[str, str] = {"op11_spelling_variants": text_oracles.SPELLING}
+ORACLES: dict[str, str] = {
+    "op11_spelling_variants": text_oracles.SPELLING,
+    "op13_collocations": text_oracles.PHRASES,
+}

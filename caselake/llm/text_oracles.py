@@ -46,3 +46,39 @@ with recursive checks as (
 select f.word, f.form, e.root, f.n, cast(f.n_near as bigint) as n_near, f.form_n
 from formed f join ends e on f.word = e.start
 """
+
+PHRASES = f"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\\x0A-\\x0D]')) as piece from documents
+), texts as (
+  select lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') as words from pieces
+), phrases as (
+  select lang, m, unnest(list_transform(range(1, len(words) - m + 2), lambda i: array_to_string(words[i:i + m - 1], ' '))) as phrase
+  from texts, range(1, 4) s(m)
+), counted as materialized (
+  select lang, m, phrase, cast(count(*) as hugeint) as f from phrases group by all
+), found as materialized (
+  select lang, m, phrase, string_split(phrase, ' ') as words, f as a from counted where m > 1 and f >= 10
+), parts as materialized (
+  select lang, m, phrase, a, k, array_to_string(words[1:k], ' ') as head, array_to_string(words[k + 1:m], ' ') as tail
+  from found, range(1, 3) s(k) where k < m
+), heads as materialized (
+  select p.*, c.f as l from parts p join counted c on p.lang = c.lang and p.head = c.phrase
+), cuts as (
+  select p.*, c.f as r, (1000000 * a * a) // (l * c.f) as score
+  from heads p join counted c on p.lang = c.lang and p.tail = c.phrase
+), lowest as (
+  select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), longer as (
+  select lang, part, max(a) as most from (select lang, a, case k when 1 then tail else head end as part from parts where m = 3)
+  group by lang, part
+), kept as (
+  select s.* from lowest s left join longer t on s.lang = t.lang and s.phrase = t.part and s.m = 2
+  where t.most is null or 100 * t.most < 50 * s.a
+), ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as place from kept
+), totals as (select lang, sum(f) as n from counted where m = 1 group by lang)
+select r.lang, cast(place as bigint) as rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l,
+  cast(r as bigint) as r, cast(n as bigint) as n, cast(score as bigint) as score
+from ranked r join totals t on r.lang = t.lang where place <= 2000
+"""
