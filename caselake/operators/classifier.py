@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IndexToString, StringIndexerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,20 +26,34 @@ from caselake.operators.features import (
     with_terms,
 )
 from caselake.operators.metrics import macro_f1, mean_ci
-from caselake.operators.splits import FOLDS, REPEATS, SEED, with_folds
+from caselake.operators.splits import FOLDS, REPEATS, SEED, stratified_rows, with_folds
 from caselake.session import bounded, written
 
 # Inverse regularisation strength and iteration limit.
 C = 1.0
 MAX_ITER = 1000
 
+# Relative change of the objective at which the optimiser stops; at ten times this it
+# can stop with parts of the mean gradient above GRADIENT_BOUND.
+TOLERANCE = 1e-8
+
 # Levels of the tree that adds up the gradients of all tasks.
 AGGREGATION_DEPTH = 2
 
 
+# Fixed value: a fit has arrived when no part of the mean gradient is larger.
+GRADIENT_BOUND = 1e-4
+
+
 @dataclass(frozen=True)
 class TextModelSpec:
-    """What one fit learns from and how."""
+    """What one fit learns from and how.
+
+    ``max_fit_rows`` bounds the rows that the optimiser passes over some hundred times:
+    about that many, shared out exactly by class size, one of each class at least, chosen
+    by seeded hash of the id. Vocabulary, document frequencies and class weights still
+    come from all rows. None, the default, fits on all of them.
+    """
 
     text: str = "narrative"
     label: str = "product"
@@ -47,6 +62,19 @@ class TextModelSpec:
     c: float = C
     max_iter: int = MAX_ITER
     stop_words: Sequence[str] | None = None
+    max_fit_rows: int | None = None
+    seed: int = SEED
+
+
+@dataclass(frozen=True)
+class Fit:
+    """A model with what it was fitted on: ``vectors`` (features, _label, weight), and
+    the strength of the penalty on the mean loss."""
+
+    model: PipelineModel
+    regression: LogisticRegressionModel
+    vectors: DataFrame
+    penalty: float
 
 
 def class_weights(df: DataFrame, label: str = "product") -> DataFrame:
@@ -59,8 +87,8 @@ def class_weights(df: DataFrame, label: str = "product") -> DataFrame:
 
 
 def _fit_terms(
-    train: DataFrame, vocabulary: Sequence[tuple[str, float]], spec: TextModelSpec
-) -> PipelineModel:
+    train: DataFrame, vocabulary: Sequence[tuple[str, float]], spec: TextModelSpec, id_col: str
+) -> Fit:
     """Fit on rows that carry ``terms``, given their vocabulary.
 
     The vocabulary has at most ``max_features`` entries and becomes part of the
@@ -71,34 +99,94 @@ def _fit_terms(
         raise ValueError(f"no term occurs in {spec.min_df} or more documents")
     weights = bounded(class_weights(train, spec.label))
     classes = sorted((r[spec.label], r["n"]) for r in weights.collect())
-    labels, rows = [name for name, _ in classes], sum(n for _, n in classes)
+    labels = [name for name, _ in classes]
     features = tfidf_stages(vocabulary)
-    weighted = train.select("terms", spec.label).join(
+    chosen = train
+    if spec.max_fit_rows is not None:
+        chosen = stratified_rows(train, spec.max_fit_rows, id_col, spec.label, spec.seed)
+    weighted = chosen.select("terms", spec.label).join(
         weights.select(spec.label, "weight"), spec.label
     )
     indexer = StringIndexerModel.from_labels(labels, inputCol=spec.label, outputCol="_label")
     ready = PipelineModel([*features, indexer]).transform(weighted)
+    vectors = written(ready.select("features", "_label", "weight"), "vectors")
     # The summed objective of C is Spark's mean objective at 1 / (C * rows):
     # balanced weights add up to the number of rows.
+    penalty = 1.0 / (spec.c * vectors.count())
     regression = LogisticRegression(
         family="multinomial", featuresCol="features", labelCol="_label", weightCol="weight",
         predictionCol="_prediction", elasticNetParam=0.0, standardization=False,
-        regParam=1.0 / (spec.c * rows), maxIter=spec.max_iter,
-        aggregationDepth=AGGREGATION_DEPTH,
-    ).fit(written(ready.select("features", "_label", "weight"), "vectors"))
+        regParam=penalty, maxIter=spec.max_iter, tol=TOLERANCE, aggregationDepth=AGGREGATION_DEPTH,
+    ).fit(vectors)
     names = IndexToString(inputCol="_prediction", outputCol="baseline_pred", labels=labels)
-    return PipelineModel([*features, regression, names])
+    return Fit(PipelineModel([*features, regression, names]), regression, vectors, penalty)
 
 
-def fit_classifier(train: DataFrame, spec: TextModelSpec = TextModelSpec()) -> PipelineModel:
-    """The whole text-to-label model; vocabulary and weights come from ``train`` only."""
+def fit_text_model(
+    train: DataFrame, spec: TextModelSpec = TextModelSpec(), id_col: str = "complaint_id"
+) -> Fit:
+    """The whole text-to-label model; vocabulary and weights come from ``train`` only.
+    The id is read only where ``max_fit_rows`` chooses rows by it."""
+    ids = [] if spec.max_fit_rows is None else [id_col]
     termed = written(
-        with_terms(train.select(spec.text, spec.label), spec.text, spec.stop_words).select("terms", spec.label),
-        "terms",
+        with_terms(train.select(*ids, spec.text, spec.label), spec.text, spec.stop_words)
+        .select(*ids, "terms", spec.label), "terms",
     )
     vocabulary = learn_vocabulary(termed, spec.min_df, spec.max_features)
-    fitted = _fit_terms(termed, vocabulary, spec)
-    return PipelineModel([*term_stages(spec.text, spec.stop_words), *fitted.stages])
+    fit = _fit_terms(termed, vocabulary, spec, id_col)
+    return replace(fit, model=PipelineModel([*term_stages(spec.text, spec.stop_words), *fit.model.stages]))
+
+
+def fit_classifier(
+    train: DataFrame, spec: TextModelSpec = TextModelSpec(), id_col: str = "complaint_id"
+) -> PipelineModel:
+    """The model of ``fit_text_model``."""
+    return fit_text_model(train, spec, id_col).model
+
+
+def fit_evidence(fit: Fit, bound: float = GRADIENT_BOUND) -> DataFrame:
+    """How well the fitted coefficients minimise their objective: one row (rows, classes,
+    features, objective, gradient, arrived).
+
+    One pass over the fitted rows takes every row's class probabilities at the coefficients
+    and sums the weighted loss; a second lists their entries and sums, per feature, entry
+    times weight times (probability minus truth) for all classes side by side, with
+    map-side combine. ``gradient`` is the largest part of the mean gradient in size,
+    intercepts included, and ``arrived`` says that it is within ``bound``. The
+    coefficients, ``features`` rows of one number per class, are the model itself.
+    """
+    spark = fit.vectors.sparkSession
+    coefficients = fit.regression.coefficientMatrix.toArray()
+    classes, features = coefficients.shape
+    probability = vector_to_array("probability")
+    at_fit = fit.regression.transform(fit.vectors).select(
+        "features", "weight", F.element_at(probability, F.col("_label").cast("int") + 1).alias("_own"),
+        F.transform(probability, lambda p, k: F.col("weight") * (p - (k == F.col("_label")).cast("double"))).alias("_miss"),
+    )
+    total = F.sum("weight")
+    loss = at_fit.agg(
+        F.count(F.lit(1)).alias("rows"), total.alias("total"),
+        (F.sum(-F.col("weight") * F.log("_own")) / total).alias("loss"),
+        F.greatest(*[F.abs(F.sum(F.col("_miss")[k])) / total for k in range(classes)], F.lit(0.0)).alias("bias"),
+    )
+    vector = F.unwrap_udt("features")
+    entries = F.explode(F.arrays_zip(vector["indices"].alias("at"), vector["values"].alias("x")))
+    sums = at_fit.select("_miss", entries.alias("e")).groupBy(F.col("e.at").alias("at")).agg(
+        F.array(*[F.sum(F.col("e.x") * F.col("_miss")[k]) for k in range(classes)]).alias("sums"))
+    held = spark.createDataFrame(
+        [(at, column.tolist()) for at, column in enumerate(coefficients.T)], "at int, held array<double>")
+    none = F.array_repeat(F.lit(0.0), classes)
+    parts = held.join(sums, "at", "left").crossJoin(F.broadcast(loss.select("total"))).select(
+        F.zip_with("held", F.coalesce("sums", none),
+                   lambda b, g: F.abs(g / F.col("total") + F.lit(fit.penalty) * b)).alias("parts"),
+        F.aggregate("held", F.lit(0.0), lambda so_far, b: so_far + b * b).alias("square"))
+    steepest = parts.agg(F.max(F.array_max("parts")).alias("steepest"), F.sum("square").alias("square"))
+    gradient = F.greatest("steepest", "bias")
+    return loss.crossJoin(F.broadcast(steepest)).select(
+        "rows", F.lit(classes).alias("classes"), F.lit(features).alias("features"),
+        (F.col("loss") + fit.penalty / 2 * F.col("square")).alias("objective"),
+        gradient.alias("gradient"), (gradient <= bound).alias("arrived"),
+    )
 
 
 def predict(
@@ -120,11 +208,12 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def cross_validate(
+def cross_predictions(
     train: DataFrame, spec: TextModelSpec = TextModelSpec(), id_col: str = "complaint_id",
     folds: int = FOLDS, repeats: int = REPEATS, seed: int = SEED, parallelism: int = 8,
 ) -> DataFrame:
-    """Macro-F1 of every (repeat, fold), the model refitted from its vocabulary up.
+    """(id, repeat, fold, true_product, baseline_pred) of every row of every fold, the
+    model refitted from its vocabulary up.
 
     Terms and fold membership are written once. One pass then counts every term
     in total and inside every fold; the counts a fold trains on are the
@@ -134,7 +223,7 @@ def cross_validate(
                          folds, repeats, seed)
     fold_cols = [f"fold_{r}" for r in range(repeats)]
     termed = written(
-        with_terms(members, spec.text, spec.stop_words).select("terms", spec.label, *fold_cols), "terms"
+        with_terms(members, spec.text, spec.stop_words).select(id_col, "terms", spec.label, *fold_cols), "terms"
     )
 
     def inside(name: str) -> list[Column]:
@@ -157,16 +246,24 @@ def cross_validate(
         )
         n_docs = fitting.agg(F.count(F.lit(1))).scalar()
         vocabulary = collect_vocabulary(outside, n_docs, spec.min_df, spec.max_features)
-        model = _fit_terms(fitting, vocabulary, spec)
+        model = _fit_terms(fitting, vocabulary, spec, id_col).model
         return model.transform(termed.filter(F.col(fold) == i)).select(
-            F.lit(int(fold.removeprefix("fold_"))).alias("repeat"), F.lit(i).alias("fold"),
+            id_col, F.lit(int(fold.removeprefix("fold_"))).alias("repeat"), F.lit(i).alias("fold"),
             F.col(spec.label).alias("true_product"), "baseline_pred",
         )
 
     with ThreadPoolExecutor(parallelism) as pool:
         task = inheritable_thread_target(train.sparkSession)(validate)
         runs = [pool.submit(task, fold, i) for fold in fold_cols for i in range(folds)]
-        scored = reduce(DataFrame.unionByName, [run.result() for run in runs])
+        return reduce(DataFrame.unionByName, [run.result() for run in runs])
+
+
+def cross_validate(
+    train: DataFrame, spec: TextModelSpec = TextModelSpec(), id_col: str = "complaint_id",
+    folds: int = FOLDS, repeats: int = REPEATS, seed: int = SEED, parallelism: int = 8,
+) -> DataFrame:
+    """Macro-F1 of every (repeat, fold)."""
+    scored = cross_predictions(train, spec, id_col, folds, repeats, seed, parallelism)
     return macro_f1(scored, by=["repeat", "fold"])
 
 

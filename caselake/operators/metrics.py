@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -147,6 +148,47 @@ def classification_report(
     return per_label.unionByName(summaries).orderBy("_at", "label").drop("_at")
 
 
+def report_identities(
+    report: DataFrame, predicted: DataFrame, true: str = "true_product", pred: str = "baseline_pred",
+    within: float = 1e-9,
+) -> DataFrame:
+    """(label, support, agrees) for every row of a classification report.
+
+    A class agrees when its F1 is 2PR / (P + R) and its recall is the share of its own rows
+    predicted right; the three rows at the end when they are the share of all rows predicted
+    right, the plain and the support-weighted means of the classes' scores. ``support`` is
+    the number of rows that a report row stands for; the report itself has the accuracy
+    in all columns of its row.
+    """
+    names = ("accuracy", "macro avg", "weighted avg")
+    scores = ("precision", "recall", "f1-score")
+    right = F.avg((F.col(true) == F.col(pred)).cast("double"))
+    classes = report.filter(~F.col("label").isin(*names))
+    total = F.sum("support")
+
+    def near(a: Column, b: Column) -> Column:
+        return F.abs(a - b) <= within
+
+    p, rc, f = (F.col(c) for c in scores)
+    harmonic = F.coalesce(F.try_divide(2 * p * rc, p + rc), F.lit(0.0))
+    own = predicted.groupBy(F.col(true).alias("label")).agg(right.alias("right"))
+    per_class = classes.join(own, "label", "left").select(
+        "label", "support", (near(f, harmonic) & near(rc, F.coalesce("right", F.lit(0.0)))).alias("agrees"))
+    whole = predicted.agg(right.alias("right")).crossJoin(classes.agg(
+        total.alias("total"),
+        *[F.avg(c).alias(f"macro {c}") for c in scores],
+        *[(F.sum(F.col(c) * F.col("support")) / total).alias(f"weighted {c}") for c in scores]))
+    means = report.filter(F.col("label").isin(*names)).crossJoin(whole)
+    expected = [
+        F.when(F.col("label") == "accuracy", F.col("right"))
+        .when(F.col("label") == "macro avg", F.col(f"macro {c}")).otherwise(F.col(f"weighted {c}"))
+        for c in scores
+    ]
+    support = F.when(F.col("label") == "accuracy", F.col("right")).otherwise(F.col("total"))
+    ok = reduce(Column.__and__, [near(F.col(c), e) for c, e in zip([*scores, "support"], [*expected, support])])
+    return per_class.unionByName(means.select("label", F.col("total").alias("support"), ok.alias("agrees")))
+
+
 def compare_same_rows(
     baseline: DataFrame, external: DataFrame, id_col: str = "complaint_id",
     true: str = "true_product", baseline_pred: str = "baseline_pred",

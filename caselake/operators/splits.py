@@ -38,7 +38,13 @@ def _class_counts(df: DataFrame, label: str) -> DataFrame:
 
 
 def holdout_quotas(df: DataFrame, label: str, share: float = TEST_SHARE) -> DataFrame:
-    """Held-out rows per class: ceil(share * rows) in all, by largest remainder.
+    """Held-out rows per class: ceil(share * rows) in all, by largest remainder."""
+    return _quotas(df, label, F.ceil(F.lit(float(share)) * F.col("total")))
+
+
+def _quotas(df: DataFrame, label: str, wanted: Column) -> DataFrame:
+    """Rows per class, ``wanted`` in all, which may use the column ``total``: by largest
+    remainder of each class's share.
 
     Works on one row per class. Equal remainders go by label.
     """
@@ -48,7 +54,7 @@ def holdout_quotas(df: DataFrame, label: str, share: float = TEST_SHARE) -> Data
     shares = (
         _class_counts(df, label)
         .withColumn("total", F.sum("n").over(everything))
-        .withColumn("test", F.ceil(F.lit(float(share)) * F.col("total")))
+        .withColumn("test", wanted)
         .withColumn("rest", (wide * test) % total)
         .withColumn("base", ((wide * test - F.col("rest")) / total).cast("bigint"))
     )
@@ -161,6 +167,18 @@ def stratified_split(
     return slots.withColumn("split", side).drop("_slot")
 
 
+def stratified_rows(
+    df: DataFrame, rows: int, id_col: str = "complaint_id", label: str = "product", seed: int = SEED,
+) -> DataFrame:
+    """``rows`` rows of all classes by their exact shares, the first in seeded order of
+    each, and one of every class at least; all rows where there are not more."""
+    if rows < 1:
+        raise ValueError(f"a sample of {rows} rows")
+    quotas = _quotas(df, label, F.least(F.lit(rows), F.col("total")))
+    ranks = quotas.select(label, F.greatest("rank", F.lit(1)).alias("rank"))
+    return with_slots(df, ranks, id_col, label, {"_slot": str(seed)}).filter("_slot = 0").drop("_slot")
+
+
 def with_folds(
     df: DataFrame, id_col: str = "complaint_id", label: str = "product",
     folds: int = FOLDS, repeats: int = REPEATS, seed: int = SEED,

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from caselake.operators.classifier import TextModelSpec, fit_classifier, predict
+from caselake.operators.classifier import Fit, TextModelSpec, fit_text_model, predict
 from caselake.operators.external import external_scores
 from caselake.operators.splits import SAMPLE_PER_CLASS, SEED, TEST_SHARE, sample_per_class, stratified_split
 from caselake.schemas import CATEGORIES
@@ -18,9 +18,13 @@ from caselake.session import written
 @dataclass(frozen=True)
 class HeldOutRun:
     train: DataFrame
-    model: PipelineModel
+    fit: Fit
     predictions: DataFrame
 
+    @property
+    def model(self) -> PipelineModel:
+        return self.fit.model
+
 
 def train_and_predict(
     clean: DataFrame, spec: TextModelSpec = TextModelSpec(), id_col: str = "complaint_id",
@@ -30,9 +34,9 @@ def train_and_predict(
     rows = written(clean.select(id_col, spec.text, spec.label), "clean")
     split = stratified_split(rows, id_col, spec.label, share, seed)
     train = split.filter("split = 'train'").drop("split")
-    model = fit_classifier(train, spec)
+    fit = fit_text_model(train, spec, id_col)
     held_out = split.filter("split = 'test'")
-    return HeldOutRun(train, model, predict(model, held_out, id_col, spec.text, spec.label))
+    return HeldOutRun(train, fit, predict(fit.model, held_out, id_col, spec.text, spec.label))
 
 
 def score_sample(

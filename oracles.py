@@ -306,6 +306,32 @@ select doc_id, term, tf, round(w / norm, 6) as weight from raws join norms using
 ORACLES["class_weights"] = f"""{CLEAN}, counts as (select product, count(*) as n from clean group by product)
 select product, n, round((select sum(n) from counts) / ((select count(*) from counts) * n), 9) as weight
 from counts"""
+HELD_OUT = CLEAN + """, sizes as (select product, count(*) as n, sum(count(*)) over () as total from clean group by product),
+wanted as (select *, cast(ceil(cast(0.2 as double) * total) as bigint) as test from sizes),
+shares as (select *, n * test // total as base, n * test % total as rest from wanted),
+quotas as (select product, base + case when row_number() over (order by rest desc, product) <= test - sum(base) over ()
+  then 1 else 0 end as quota from shares),
+placed as (
+  select clean.*, quota, row_number() over (
+    partition by product order by md5(concat('42:', complaint_id)), complaint_id) as n
+  from clean join quotas using (product)),
+held_out as (select * from placed where n <= quota), train as (select * from placed where n > quota)"""
+ORACLES["classifier_predictions"] = f"""{HELD_OUT}
+select complaint_id, product as true_product, true as known_class, true as gradient_in_bound from held_out"""
+ORACLES["fit_objective"] = f"""{HELD_OUT}
+select count(*) as n_rows, count(distinct product) as n_classes, round(ln(count(distinct product)), 9) as objective_without,
+  true as objective_is_less, true as gradient_in_bound from train"""
+ORACLES["prediction_report"] = f"""{HELD_OUT}
+select product as label, cast(count(*) as double) as support, true as agrees from held_out group by product
+union all select unnest(['accuracy', 'macro avg', 'weighted avg']), cast(count(*) as double), true from held_out"""
+ORACLES["cv_macro_f1"] = f"""{HELD_OUT},
+fold_starts as (
+  select product, count(*) as n, sum(count(*)) over (order by product) - count(*) as start from train group by product),
+fold_slots as (
+  select product, unnest(range(cast(start as bigint), cast(start + n as bigint))) % 5 as fold from fold_starts),
+fold_sizes as (select cast(fold as int) as fold, count(*) as n_rows from fold_slots group by fold)
+select cast(repeat as int) as repeat, fold, n_rows, n_rows as n_ids, n_rows as n_scored, cast(15 as bigint) as n_folds, true as mean_agrees
+from fold_sizes, (select unnest([0, 1, 2]) as repeat)"""
 ORACLES["model_reload_same_preds"] = f"""{CLEAN}
 select count(*) - cast(ceil(cast(0.2 as double) * count(*)) as bigint) as n_rows,
   count(*) - cast(ceil(cast(0.2 as double) * count(*)) as bigint) as n_same

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -393,19 +394,43 @@ def class_weights(spark, sf_dir):
     return weights.withColumn("weight", F.round("weight", 9))
 
 
+@lru_cache(maxsize=1)
 def held_out_run(spark, sf_dir):
+    """One fit for all queries that look at it; its tables lie in the shared folder."""
     return evaluation.train_and_predict(training_rows(spark, sf_dir))
 
 
 @query
 def classifier_predictions(spark, sf_dir):
-    predicted = held_out_run(spark, sf_dir).predictions
-    return predicted.select("complaint_id", "true_product", "baseline_pred")
+    """Held-out rows, whether their prediction is a class of the training rows, and whether
+    the gradient at the fitted coefficients lies within the bound."""
+    run = held_out_run(spark, sf_dir)
+    classes = run.train.select(F.col("product").alias("baseline_pred")).distinct().withColumn("known", F.lit(True))
+    arrived = classifier.fit_evidence(run.fit).select("arrived")
+    return run.predictions.join(classes, "baseline_pred", "left").crossJoin(arrived).select(
+        "complaint_id", "true_product", F.coalesce("known", F.lit(False)).alias("known_class"),
+        F.col("arrived").alias("gradient_in_bound"),
+    )
+
+
+@query
+def fit_objective(spark, sf_dir):
+    """The fit's rows and classes, and its objective against that of no coefficients at all."""
+    fit = held_out_run(spark, sf_dir).fit
+    start = F.log(F.col("classes").cast("double"))
+    return classifier.fit_evidence(fit).select(
+        F.col("rows").alias("n_rows"), F.col("classes").cast("bigint").alias("n_classes"),
+        r(start, 9).alias("objective_without"), (F.col("objective") < start).alias("objective_is_less"),
+        F.col("arrived").alias("gradient_in_bound"),
+    )
 
 
 @query
 def prediction_report(spark, sf_dir):
-    return metrics.classification_report(held_out_run(spark, sf_dir).predictions)
+    """The report's supports, and whether its figures agree with each other and with scores
+    taken straight from the predictions."""
+    predicted = written(held_out_run(spark, sf_dir).predictions.select("true_product", "baseline_pred"), "predicted")
+    return metrics.report_identities(metrics.classification_report(predicted), predicted)
 
 
 @query
@@ -424,9 +449,20 @@ def model_reload_same_preds(spark, sf_dir):
 
 @query
 def cv_macro_f1(spark, sf_dir):
+    """Rows of every fold, whether all were scored with a known class, and whether the
+    summary is the mean of the folds' scores."""
     rows = written(training_rows(spark, sf_dir), "clean")
     train = splits.stratified_split(rows).filter("split = 'train'")
-    return classifier.cv_summary(classifier.cross_validate(train))
+    scored = written(classifier.cross_predictions(train), "cross-predictions")
+    scores = metrics.macro_f1(scored, by=["repeat", "fold"])
+    summary = classifier.cv_summary(scores).select("n", "mean")
+    sizes = scored.groupBy("repeat", "fold").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("complaint_id").alias("n_ids"),
+        F.count_if(F.col("baseline_pred").isNotNull()).alias("n_scored"))
+    mean = scores.agg(F.avg("macro_f1").alias("own_mean"), F.min("macro_f1").alias("least"), F.max("macro_f1").alias("most"))
+    return sizes.crossJoin(summary).crossJoin(mean).select(
+        "repeat", "fold", "n_rows", "n_ids", "n_scored", F.col("n").alias("n_folds"),
+        ((F.abs(F.col("mean") - F.col("own_mean")) < 1e-12) & (F.col("least") > 0) & (F.col("most") <= 1)).alias("mean_agrees"))
 
 
 # Metrics -------------------------------------------------------------------

@@ -155,3 +155,62 @@ def test_vocabulary_cut_by_histograms(spark, partitions):
 def test_no_term_is_frequent_enough(spark):
     counts = spark.createDataFrame([("a", 2, 2)], "term string, tf bigint, df bigint")
     assert features.top_terms(counts, 3, 10).count() == 0
+
+
+def test_evidence_is_the_objective_and_gradient_at_the_fit(cases):
+    fit = classifier.fit_text_model(cases, TextModelSpec(min_df=2, stop_words=()))
+    got = classifier.fit_evidence(fit).first()
+    rows = fit.vectors.collect()
+    x = np.array([r["features"].toArray() for r in rows])
+    y = np.array([int(r["_label"]) for r in rows])
+    w = np.array([r["weight"] for r in rows])
+    coef, bias = fit.regression.coefficientMatrix.toArray(), fit.regression.interceptVector.toArray()
+    z = x @ coef.T + bias
+    p = np.exp(z - z.max(1, keepdims=True))
+    p /= p.sum(1, keepdims=True)
+    loss = -(w * np.log(p[np.arange(len(y)), y])).sum() / w.sum()
+    p[np.arange(len(y)), y] -= 1
+    p *= w[:, None]
+    gradient = max(abs(p.T @ x / w.sum() + fit.penalty * coef).max(), abs(p.sum(0)).max() / w.sum())
+    assert (got["rows"], got["classes"], got["features"]) == (180, 3, x.shape[1])
+    assert got["objective"] == pytest.approx(loss + fit.penalty / 2 * (coef**2).sum(), abs=1e-12)
+    assert got["objective"] == pytest.approx(fit.regression.summary.objectiveHistory[-1], abs=1e-9)
+    assert got["gradient"] == pytest.approx(gradient, abs=1e-12) and got["arrived"] and gradient <= 1e-4
+
+
+def test_a_fit_that_stops_early_has_not_arrived(cases):
+    fit = classifier.fit_text_model(cases, TextModelSpec(min_df=2, stop_words=(), max_iter=2))
+    assert not classifier.fit_evidence(fit).first()["arrived"]
+
+
+def test_bounded_fit_reads_a_stratified_sample_and_weighs_by_all_rows(cases):
+    spec = TextModelSpec(min_df=2, stop_words=(), max_iter=50, max_fit_rows=60)
+    fit = classifier.fit_text_model(cases, spec)
+    whole = classifier.fit_text_model(cases, TextModelSpec(min_df=2, stop_words=(), max_iter=50))
+    labels = fit.model.stages[-1].getLabels()
+    sizes = {r["product"]: r["count"] for r in cases.groupBy("product").count().collect()}
+    expected = {r["product"]: r["weight"] for r in classifier.class_weights(cases).collect()}
+    seen = Counter()
+    for r in fit.vectors.select("_label", "weight").collect():
+        seen[labels[int(r["_label"])]] += 1
+        assert r["weight"] == pytest.approx(expected[labels[int(r["_label"])]])
+    assert sum(seen.values()) == 60 and all(abs(seen[k] - 60 * n / 180) < 1 for k, n in sizes.items())
+    # Vocabulary and document frequencies come from all rows.
+    assert fit.model.stages[4].vocabulary == whole.model.stages[4].vocabulary
+    assert fit.penalty == pytest.approx(1 / 60)
+    assert classifier.predict(fit.model, cases).filter("baseline_pred is not null").count() == 180
+
+
+def test_the_sample_ignores_partitioning_and_keeps_every_class(spark):
+    from caselake.operators.splits import stratified_rows
+
+    rows = [(i, "big" if i else "one") for i in range(500)]
+    members = []
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows, "complaint_id bigint, product string").repartition(parts)
+        members.append(sorted(stratified_rows(df, 20).collect()))
+    assert members[0] == members[1] and len(members[0]) == 21 and (0, "one") in members[0]
+    assert stratified_rows(df, 1000).count() == 500
+    assert stratified_rows(df.limit(0), 5).count() == 0
+    with pytest.raises(ValueError):
+        stratified_rows(df, 0)
