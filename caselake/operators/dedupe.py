@@ -1,4 +1,4 @@
-"""Keep-first and top-n per key."""
+"""Keep-first per key."""
 
 from __future__ import annotations
 
@@ -23,24 +23,3 @@ def first_per_key(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame
         .filter("_n = 1")
         .drop("_hash", "_n")
     )
-
-
-def top_per_group(
-    df: DataFrame, group: str, order: Sequence[Column], n: int, salt: str, salts: int = 64
-) -> DataFrame:
-    """The first ``n`` rows of each group by ``order``, which must be total.
-
-    A group is first cut inside ``salts`` slices of itself, spread by the column
-    ``salt``, so no task sorts a whole hot group; the second cut sees at most
-    ``salts * n`` rows of it. The result is the same as with one window.
-    """
-    sliced = Window.partitionBy(group, "_slice").orderBy(*order)
-    whole = Window.partitionBy(group).orderBy(*order)
-    return (
-        df.withColumn("_slice", F.pmod(F.xxhash64(salt), F.lit(salts)))
-        .withColumn("_n", F.row_number().over(sliced))
-        .filter(F.col("_n") <= n)
-        .withColumn("_n", F.row_number().over(whole))
-        .filter(F.col("_n") <= n)
-        .drop("_slice", "_n")
-    )

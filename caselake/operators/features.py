@@ -87,10 +87,9 @@ def top_terms(
     """The most frequent terms found in at least ``min_df`` documents; ties go by term.
 
     Histograms find the cut first, so at most ``2 * max_features`` rows are sorted,
-    however many tasks hold them. ``counts`` is read several times and should be a
-    written table.
+    however many tasks hold them. The counts are written once and read by each.
     """
-    able = counts.filter(F.col("df") >= min_df)
+    able = written(counts.filter(F.col("df") >= min_df), "able-terms")
     # Coarse steps of the frequency, then the frequencies inside the step with the cut.
     step = F.floor(F.log2("tf") * STEPS).cast("bigint")
     at, above, _ = _cut(able.select((-step).alias("k")), max_features)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed value: pairs with fewer cases are not judged.
 MIN_PAIR_CASES = 5
 
+# Groups whose ranks are broadcast at most: 1,002 rates each, some 50 MB in all.
+MAX_GROUPS = 2_000
+
 
 def _flag_counts(df: DataFrame, group: str, entity: str, flag: str) -> DataFrame:
     """Rows per (group, entity, flag value): the only pass over the facts.
@@ -68,7 +71,8 @@ def rank_by_rate(
 
     A rate has one decimal, so a group has at most 1,002 different ones. The rank
     is one plus the pairs at lower rates, read off a running sum over that small
-    histogram; a group's pairs themselves are never sorted in one task.
+    histogram; a group's pairs themselves are never sorted in one task, nor shuffled
+    again: the histogram is broadcast, and more than ``MAX_GROUPS`` groups are an error.
     """
     return _with_ranks(pairs, _ranks(pairs, group, rate, out), group, rate)
 
@@ -90,9 +94,28 @@ def _ranks(pairs: DataFrame, group: str, rate: str, out: str) -> DataFrame:
 
 
 def _with_ranks(pairs: DataFrame, ranks: DataFrame, group: str, rate: str) -> DataFrame:
-    """``pairs`` with what ``ranks`` says about their group and rate, both null-safe."""
-    same = F.col(group).eqNullSafe(F.col("_group")) & F.col(rate).eqNullSafe(F.col("_rate"))
-    return pairs.join(ranks, same).drop("_group", "_rate")
+    """``pairs`` with what ``ranks`` says about their group and rate, both null-safe.
+
+    Many pairs share a rate, so they do not meet by it: the ranks become one row per group
+    with a list by rate, which is counted before it is broadcast.
+    """
+    others = [c for c in ranks.columns if c not in ("_group", "_rate")]
+    lists = ranks.groupBy("_group").agg(F.collect_list(F.struct("_rate", *others)).alias("_list"))
+    by_rate = F.map_from_entries(F.transform("_list", lambda e: F.struct(_rate_key(e["_rate"]), e)))
+    groups = F.count(F.lit(1)).over(Window.partitionBy())  # of no more than one too many
+    checked = lists.limit(MAX_GROUPS + 1).select("_group", by_rate.alias("_by_rate"), groups.alias("_groups")).select(
+        "_group", F.when(F.col("_groups") > MAX_GROUPS, F.raise_error(F.lit(
+            f"more than the {MAX_GROUPS} groups whose ranks are broadcast")))
+        .otherwise(F.col("_by_rate")).alias("_by_rate"))
+    found = pairs.join(F.broadcast(checked), F.col(group).eqNullSafe(F.col("_group"))).select(
+        *pairs.columns, F.try_element_at("_by_rate", _rate_key(F.col(rate))).alias("_hit"))
+    return found.filter(F.col("_hit").isNotNull()).select(
+        *pairs.columns, *[F.col(f"_hit.{c}").alias(c) for c in others])
+
+
+def _rate_key(rate: Column) -> Column:
+    """A rate of one decimal as a key; null has its own."""
+    return F.coalesce(F.round(rate * 10).cast("int"), F.lit(-(1 << 31)))
 
 
 def underperformers(

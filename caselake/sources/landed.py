@@ -3,21 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselake.functions.text import is_present
-from caselake.operators.dedupe import first_per_key, top_per_group
+from caselake.operators.dedupe import first_per_key
+from caselake.operators.selection import first_per_group
 from caselake.schemas import (
     CATEGORIES,
     DAILY_QUOTA,
     DATE_MIN,
     RAW_FIELDS,
     response_schema,
+    text_schema,
 )
 
+PEEKS = 16  # files whose header is read at the same time
+
 # Cell texts that mean "no value" in a CSV extract.
 NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -71,9 +77,10 @@ def quota_per_category(
     df: DataFrame, n: int = DAILY_QUOTA, order: Sequence[Column] | None = None,
     group: str = "product", id_col: str = "complaint_id",
 ) -> DataFrame:
-    """At most ``n`` rows per category, the first by ``order`` (numeric id if not given)."""
-    order = order or [F.col(id_col).try_cast("bigint").asc_nulls_last(), F.col(id_col)]
-    return top_per_group(df, group, order, n, salt=id_col)
+    """At most ``n`` rows per category, the first by ``order``, ascending and nulls last
+    (numeric id if not given)."""
+    order = order or [F.col(id_col).try_cast("bigint"), F.col(id_col)]
+    return first_per_group(df, group, order, n)
 
 
 def dedupe_by_id(
@@ -110,32 +117,69 @@ def replace_table(df: DataFrame, path: str) -> int:
     return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
+def csv_layouts(spark: SparkSession, path: str, multi_line: bool = True) -> dict[tuple[str, ...], list[str]]:
+    """Files below ``path`` by the names in their own header, in order; empty files are left out.
+
+    Only the beginning of each file is read, ``PEEKS`` files at a time.
+    """
+    files = sorted(spark.read.text(path).inputFiles())
+
+    def header(file: str) -> tuple[str, ...]:
+        return tuple(spark.read.options(**_csv(multi_line)).csv(file).columns)
+
+    with ThreadPoolExecutor(PEEKS) as pool:
+        headers = list(pool.map(inheritable_thread_target(spark)(header), files))
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for file, names in zip(files, headers):
+        if names:
+            layouts.setdefault(names, []).append(file)
+    return layouts
+
+
+def _csv(multi_line: bool) -> dict:
+    return dict(header=True, multiLine=multi_line, quote='"', escape='"', inferSchema=False)
+
+
 def read_csv(
     spark: SparkSession, path: str, fields: Sequence[str], null_tokens: Sequence[str] = NULL_TOKENS,
     multi_line: bool = True,
 ) -> DataFrame:
-    """CSV extract as text columns, found by the names in its header.
-
-    Columns may stand in any order; further ones are left out and missing ones are
-    null, but a file with none of the ``fields`` is an error. Quoted cells may hold
-    line breaks; a file with such cells cannot be split, so land many files rather than
-    a large one, and set ``multi_line`` to False where cells hold none.
+    """CSV extract as text columns, found by the names in each file's own header.
+
+    Files of one folder may have their columns in any order and unlike ones: there is one
+    read per layout, and the results are united by name. Further columns are left out and
+    missing ones are null, but a file with none of the ``fields`` is an error, as is a
+    folder without any row of names. A header that changes after it was looked at fails
+    the read. Quoted cells may hold line breaks; a file with such cells cannot be split, so
+    land many files rather than a large one, and set ``multi_line`` to False where cells
+    hold none.
     """
-    df = spark.read.options(header=True, multiLine=multi_line, quote='"', escape='"', inferSchema=False).csv(path)
-    if not set(fields) & set(df.columns):
-        raise ValueError(f"{path} has none of the columns {list(fields)}, but {df.columns}")
-    return df.select(*[
-        F.when(~F.col(f"`{f}`").isin(*null_tokens), F.col(f"`{f}`")).alias(f)
-        if f in df.columns else F.lit(None).cast("string").alias(f)
-        for f in fields
+    layouts = csv_layouts(spark, path, multi_line)
+    for names, files in layouts.items():
+        if not set(fields) & set(names):
+            raise ValueError(f"{files[0]} has none of the columns {list(fields)}, but {list(names)}")
+    if not layouts:
+        raise ValueError(f"{path} has none of the columns {list(fields)}, but no header at all")
+
+    def wanted(df: DataFrame) -> DataFrame:
+        return df.select(*[
+            F.when(~F.col(f"`{f}`").isin(*null_tokens), F.col(f"`{f}`")).alias(f)
+            if f in df.columns else F.lit(None).cast("string").alias(f)
+            for f in fields
+        ])
+
+    return reduce(DataFrame.unionByName, [
+        wanted(spark.read.options(**_csv(multi_line), enforceSchema=False).schema(text_schema(names)).csv(files))
+        for names, files in layouts.items()
     ])
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with header. ``single_file`` is for reports, whose size is a few rows."""
+def write_csv(df: DataFrame, path: str, single_file: bool = False, append: bool = False) -> None:
+    """CSV with header. ``single_file`` is for reports, whose size is a few rows; with
+    ``append`` the files join those already there."""
     out = df.coalesce(1) if single_file else df
     (
-        out.write.mode("overwrite")
+        out.write.mode("append" if append else "overwrite")
         .options(header=True, quote='"', escape='"',
                  ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         .csv(path)

@@ -192,3 +192,25 @@ def test_of_an_id_in_two_categories_the_first_listed_stays(spark, tmp_path):
     for first, second in (("A", "B"), ("B", "A")):
         rows = landed.load_raw(spark, str(tmp_path), [first, second]).collect()
         assert [r["product"] for r in rows] == [first]
+
+
+def test_csv_files_of_one_folder_keep_their_own_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('complaint_id,product\n1,Mortgage\n2,"Student\nloan"\n')
+    (tmp_path / "b.csv").write_text("product,complaint_id,more\nMortgage,3,x\n")
+    (tmp_path / "c.csv").write_text("more,complaint_id\ny,4\n")
+    (tmp_path / "d.csv").write_text("")
+    got = landed.read_csv(spark, str(tmp_path), ["complaint_id", "product"])
+    assert sorted(tuple(r) for r in got.collect()) == [
+        ("1", "Mortgage"), ("2", "Student\nloan"), ("3", "Mortgage"), ("4", None)]
+    assert len(landed.csv_layouts(spark, str(tmp_path))) == 3
+
+
+def test_a_csv_file_without_any_wanted_column_is_named(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("complaint_id\n1\n")
+    (tmp_path / "odd.csv").write_text("x,y\n1,2\n")
+    with pytest.raises(ValueError, match="odd.csv"):
+        landed.read_csv(spark, str(tmp_path), ["complaint_id"])
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "empty" / "e.csv").write_text("")
+    with pytest.raises(ValueError, match="no header"):
+        landed.read_csv(spark, str(tmp_path / "empty"), ["complaint_id"])

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from caselake.operators import marts
+from caselake.operators import marts, ranking
 from caselake.operators.ranking import average_rate, rank_by_rate, rate_by_pair, underperformers
 from caselake.operators.staging import stage_cases
 
@@ -103,3 +103,24 @@ def test_any_rate_keeps_its_own_rank(spark):
         "product string, company string, pct_timely_response double")
     got = {r["company"]: r["rank_within_category"] for r in rank_by_rate(pairs).collect()}
     assert got == {"a": 1, "c": 2, "b": 3, "d": 3, "e": 1}
+
+
+def test_pairs_are_not_shuffled_by_rate(spark):
+    df = spark.range(3000).selectExpr("'g' || id % 3 as product", "'c' || id % 97 as company", "id % 5 > 0 as was_timely")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ranked = ranking.rank_by_rate(ranking.rate_by_pair(df))
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        assert ranked.count() == ranking.rate_by_pair(df).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_more_groups_than_may_be_broadcast_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "MAX_GROUPS", 2)
+    pairs = spark.createDataFrame([(g, "c", 50.0) for g in "abc"], "product string, company string, pct_timely_response double")
+    with pytest.raises(Exception, match="more than the 2 groups"):
+        ranking.rank_by_rate(pairs).collect()
+    assert ranking.rank_by_rate(pairs.filter("product <> 'c'")).count() == 2

@@ -16,7 +16,8 @@ from caselake.functions.text import (
     trim_spaces,
 )
 from caselake.functions.typing import iso_date, parse_iso_timestamp, to_bigint
-from caselake.operators.dedupe import first_per_key, top_per_group
+from caselake.operators import selection
+from caselake.operators.dedupe import first_per_key
 from caselake.operators.staging import clean_for_training, cleaning_report, stage_cases
 from caselake.schemas import STAGED_SCHEMA
 
@@ -72,13 +73,14 @@ def test_a_hot_text_keeps_one_row_and_is_cut_before_the_shuffle(spark):
     assert "row_number(), 1, Partial" in plan
 
 
-@pytest.mark.parametrize("slices", [1, 7, 64])
-def test_top_per_group_equals_one_window(spark, slices):
+@pytest.mark.parametrize("few", [1, 7, 20_000])
+def test_top_per_group_equals_one_window(spark, few, monkeypatch):
+    monkeypatch.setattr(selection, "FEW", few)
     df = spark.range(0, 2000, 1, 5).select(
         "id", F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 9).cast("string")).alias("g"),
         F.xxhash64("id").alias("o"),
     )
-    got = {(r["g"], r["id"]) for r in top_per_group(df, "g", [F.col("o")], 30, "id", slices).collect()}
+    got = {(r["g"], r["id"]) for r in selection.first_per_group(df, "g", [F.col("o")], 30).collect()}
     by_group = {}
     for r in sorted(df.collect(), key=lambda r: r["o"]):
         by_group.setdefault(r["g"], []).append(r["id"])
