@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caselake.operators.external import RateLimited
+
 LANGS = ("de", "en", "es", "fr")
 
 
@@ -94,3 +98,21 @@ def word_count_client() -> Callable[[str], str]:
         return f"It is {max(sorted(votes), key=votes.get)}."
 
     return answer
+
+
+def failing_client() -> Callable[[str], str]:
+    """Stand-in for a remote classifier that fails at first: ``id % 5`` times for the case
+    named in the request, by a refused connection if ``id % 7`` is 0, else for too many
+    calls; a case with ``id % 11 = 0`` fails for good."""
+    tries: Counter[int] = Counter()
+
+    def answer(prompt: str) -> str:
+        case = int(re.search(r"case (\d+) ", prompt)[1])
+        tries[case] += 1
+        if case % 11 == 0:
+            raise ValueError("bad request")
+        if tries[case] <= case % 5:
+            raise ConnectionError("refused") if case % 7 == 0 else RateLimited("too many calls")
+        return f"try {tries[case]}"
+
+    return answer

@@ -175,8 +175,19 @@ ORACLES["rank_within_category"] = f"""{STAGED}, {PAIRS}
 select *, rank() over (partition by product order by pct_timely_response nulls first) as rank_within_category
 from pairs"""
 ORACLES["worst_in_class"] = f"{STAGED}, {WORST}"
+ORACLES["worst_in_class_head"] = f"{STAGED}, {WORST} order by product, rank_within_category, company limit 30"
+ORACLES["mart_from_catalog"] = ORACLES["mart_by_category"]
 ORACLES["worst_in_class_orders"] = f"with {ORDER_CASES}, {WORST}"
 
+ORACLES["guards"] = """
+select 'export of no rows' as guard, true as raised, cast(0 as bigint) as rows
+union all select 'export', false, count(*) from documents
+union all select 'read of no rows', true, 0
+union all select 'read', false, count(*) from documents
+union all select 'build of no rows', true, 0
+union all select 'build that a check fails', true, 0
+union all select 'report as one file', false, count(distinct lang) from documents"""
+
 # Checks
 ORACLES["check_unique"] = """
 select 'unique' as check, 'documents' as model, 'text' as column, count(*) as failures
@@ -294,6 +305,24 @@ ORACLES["tokens_per_doc"] = f"""with {WORDS}
 select doc_id, len(terms) as n_terms, len(list_distinct(terms)) as n_distinct,
   md5(array_to_string(terms, '|')) as terms_md5
 from terms"""
+# The English stop words of Spark.
+ENGLISH_STOP_WORDS = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself
+it its itself they them their theirs themselves what which who whom this that these those am is are was were be
+been being have has had having do does did doing a an the and but if or because as until while of at by for with
+about against between into through during before after above below to from up down in out on off over under again
+further then once here there when where why how all any both each few more most other some such no nor not only
+own same so than too very s t can will just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd
+she'd we'd they'd i'm you're he's she's it's we're they're i've we've you've they've isn't aren't wasn't weren't
+haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't mustn't can't couldn't cannot could
+here's how's let's ought that's there's what's when's where's who's why's would
+""".split()
+ENGLISH = ", ".join("'" + word.replace("'", "''") + "'" for word in ENGLISH_STOP_WORDS)
+ORACLES["english_tokens_per_doc"] = f"""with {WORDS.split("terms as")[0]}
+kept as (select doc_id, list_filter(w, lambda x: x not in ({ENGLISH})) as w from words),
+terms as (
+  select doc_id, w || list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1])) as terms from kept)
+select doc_id, len(terms) as n_terms, md5(array_to_string(terms, '|')) as terms_md5 from terms"""
 ORACLES["document_frequency"] = f"""with {WORDS}, {TOP_TERMS}
 select term, cast(tf as bigint) as tf, df from vocabulary"""
 ORACLES["tfidf_formula"] = f"""with {WORDS}, {TOP_TERMS},
@@ -448,6 +477,15 @@ cases as (select complaint_id, product, complaint_what_happened as narrative fro
 select complaint_id, product, concat('It is ', answer, '.') as external_raw_output, answer as external_pred,
   cast(null as varchar) as error
 from answers"""
+ORACLES["external_retries"] = """
+with asked as (
+  select doc_id, doc_id % 11 = 0 as broken, doc_id % 5 as failures, doc_id % 7 = 0 as refused from documents),
+told as (
+  select doc_id, case when broken then 'bad request' when failures < 3 then 'answered' when refused then 'refused'
+    else 'too many calls' end as outcome,
+    case when not broken and failures < 3 then concat('try ', failures + 1) else '' end as answer from asked)
+select outcome, answer, count(*) as n, min(doc_id) as first_doc, cast(sum(doc_id) as bigint) as doc_sum
+from told group by outcome, answer"""
 ORACLES["compare_sample"] = f"""{CLEAN}, sampled as (
   select complaint_id, product, narrative from clean
   qualify row_number() over (partition by product order by md5(concat('42:', complaint_id)), complaint_id) <= 40),

@@ -25,7 +25,7 @@ from caselake.operators import ranking, splits, staging
 from caselake.operators.dedupe import first_per_key
 from caselake.plans import daily, evaluation
 from caselake.session import new_path, spread, written
-from caselake.sources import lake, landed
+from caselake.sources import catalog, lake, landed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TEXT = "complaint_what_happened"
@@ -120,6 +120,15 @@ def raw_reload_count(spark, sf_dir):
     return spark.createDataFrame([(rows,)], "rows bigint")
 
 
+@query
+def mart_from_catalog(spark, sf_dir):
+    """Staged facts as a table, their measures as a view on it, the mart read from the view."""
+    catalog.save_table(staged(spark, sf_dir), "caselake_facts")
+    catalog.save_view(marts.measures(spark.table("caselake_facts")), "caselake_measures")
+    mart = marts.mart_by_category(spark.table("caselake_measures"))
+    return catalog.save_table(mart, "caselake_by_category")
+
+
 @query
 def metrics_kv(spark, sf_dir):
     scores = metrics.macro_f1(fixtures.predictions(spark, sf_dir))
@@ -275,6 +284,48 @@ def worst_in_class_orders(spark, sf_dir):
     return ranking.underperformers(fixtures.order_cases(spark, sf_dir))
 
 
+@query
+def worst_in_class_head(spark, sf_dir):
+    """What a user looks at first: 30 rows in order."""
+    return ranking.underperformers(staged(spark, sf_dir)).limit(30)
+
+
+@query
+def guards(spark, sf_dir):
+    """What refuses an empty table, what lets a full one through, and the rows that were
+    then at the place it writes to or reads from."""
+    raw, root, day = fixtures.raw_cases(spark, sf_dir), new_path(spark, "guarded"), "2024-03-01"
+    facts = written(staging.type_records(raw), "facts")
+    report, single = profile.class_balance(facts), new_path(spark, "single")
+
+    def rows(table: str) -> int:
+        return lake.read_lake(spark, root, table).count() if lake.snapshot_dates(spark, root, table) else 0
+
+    def single_file() -> int:
+        landed.write_csv(report, single, single_file=True)
+        names = spark.read.text(single).inputFiles()
+        return landed.read_csv(spark, single, report.columns).count() if len(names) == 1 else -1
+
+    trials = {
+        "export of no rows": (lambda: lake.export_table(facts.filter("false"), root, "empty", day), lambda: rows("empty")),
+        "export": (lambda: lake.export_table(facts, root, "facts", day), lambda: rows("facts")),
+        "read of no rows": (lambda: lake.require_rows(facts.filter("false"), "facts"), lambda: 0),
+        "read": (lambda: lake.require_rows(lake.read_lake(spark, root, "facts"), "facts"), lambda: rows("facts")),
+        "build of no rows": (lambda: daily.run_daily(raw.filter("false"), root, day, fixtures.LANGS), lambda: rows(daily.FACTS)),
+        "build that a check fails": (lambda: daily.run_daily(raw, root, day, fixtures.LANGS[1:]), lambda: rows(daily.FACTS)),
+        "report as one file": (single_file, single_file),
+    }
+    out = []
+    for name, (action, left) in trials.items():
+        try:
+            action()
+            raised = False
+        except RuntimeError:
+            raised = True
+        out.append((name, raised, left()))
+    return spark.createDataFrame(out, "guard string, raised boolean, rows bigint")
+
+
 # Checks --------------------------------------------------------------------
 
 
@@ -379,6 +430,16 @@ def tokens_per_doc(spark, sf_dir):
     )
 
 
+@query
+def english_tokens_per_doc(spark, sf_dir):
+    """Terms without English stop words, pairs joining what is left."""
+    texts = spread(documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
+    return features.with_terms(texts, "text").select(
+        "doc_id", F.size("terms").cast("bigint").alias("n_terms"),
+        F.md5(F.concat_ws("|", "terms")).alias("terms_md5"),
+    )
+
+
 @query
 def document_frequency(spark, sf_dir):
     return features.top_terms(features.term_counts(termed_documents(spark, sf_dir)))
@@ -534,6 +595,17 @@ def external_scores(spark, sf_dir):
     return scored.select("complaint_id", "product", "external_raw_output", "external_pred", "error")
 
 
+@query
+def external_retries(spark, sf_dir):
+    """Calls that fail 0 to 4 times before they answer, in one of two ways, by document."""
+    asked = documents(spark, sf_dir).select(
+        "doc_id", F.concat(F.lit("case "), F.col("doc_id").cast("string"), F.lit(" ")).alias("narrative"))
+    scored = external.external_scores(asked, fixtures.failing_client, fixtures.LANGS, pause_s=0.0)
+    kind = F.when(F.col("error").isNull(), "answered").otherwise(F.col("error"))
+    return scored.groupBy(kind.alias("outcome"), F.col("external_raw_output").alias("answer")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc"), F.sum("doc_id").alias("doc_sum"))
+
+
 @query
 def compare_sample(spark, sf_dir):
     rows = training_rows(spark, sf_dir).withColumnRenamed("product", "true_product")

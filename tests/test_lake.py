@@ -214,3 +214,20 @@ def test_a_csv_file_without_any_wanted_column_is_named(spark, tmp_path):
     (tmp_path / "empty" / "e.csv").write_text("")
     with pytest.raises(ValueError, match="no header"):
         landed.read_csv(spark, str(tmp_path / "empty"), ["complaint_id"])
+
+
+def test_tables_and_views_are_read_by_name(spark, tmp_path):
+    from caselake.sources import catalog
+
+    first = catalog.save_table(spark.range(3), "caselake_test_table", str(tmp_path / "one"))
+    view = catalog.save_view(spark.table("caselake_test_table").filter("id > 0"), "caselake_test_view")
+    assert spark.table("caselake_test_view").count() == view.count() == 2
+    catalog.save_table(spark.range(10), "caselake_test_table", str(tmp_path / "two"))
+    assert spark.table("caselake_test_table").count() == 10 and spark.read.parquet(str(tmp_path / "one")).count() == 3
+    assert first.schema.names == ["id"]
+    for bad in ("", "a\nb"):
+        with pytest.raises(ValueError):
+            catalog.save_table(spark.range(1), bad)
+    with pytest.raises(ValueError):
+        catalog.save_view(spark.range(1), "a.b")
+    spark.sql("drop table caselake_test_table")
