@@ -21,6 +21,7 @@ repeated rows are treated like any other row; an empty table gives an empty resu
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -48,6 +49,7 @@ EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~¿¡«»„“”‘’…–—"
 class Disclosure:
     """``min_contexts``: different contexts, and different passages, of an entity in which
     a term must stand; ``context_words`` and ``passage_words``: words of them on each side.
+    ``chance``: largest probability that any term at all is named by chance alone.
     ``slots`` is the size of the prefilter bitmap; it only saves work."""
 
     context_words: int = 4
@@ -55,6 +57,7 @@ class Disclosure:
     min_contexts: int = 3
     generalise_at: float = 0.9
     remove_at: float = 0.97
+    chance: float = 0.05
     slots: int = 1 << 17
 
 
@@ -160,8 +163,22 @@ def _in_different_passages(rows: DataFrame, least: int) -> DataFrame:
     return rest.select("entity", "term").distinct()
 
 
+def _evidence(words: int) -> Column:
+    """How far beyond chance a term stands near an entity: its log-likelihood ratio.
+
+    By chance each of a term's ``n_term`` occurrences lies among the ``n_near`` words near
+    the entity with their share of all words. exp(-evidence) bounds the probability that as
+    many as ``n_both`` do, so comparing it with the number of pairs bounds all of them.
+    """
+    base = F.least(F.col("n_near") / F.lit(float(max(words, 1))), F.lit(1.0))
+    seen = F.least(F.col("n_both") / F.col("n_term"), F.lit(1.0))
+    other = F.when(seen < 1, (1 - seen) * F.log((1 - seen) / (1 - base))).otherwise(0.0)
+    return F.when(seen > base, F.col("n_term") * (seen * F.log(seen / base) + other)).otherwise(0.0)
+
+
 def disclosing_terms(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFrame:
-    """(term, disclosure): terms of ``docs`` (doc_id, text) that reach ``generalise_at``.
+    """(term, disclosure): terms of ``docs`` (doc_id, text) that reach ``generalise_at``
+    and stand beside an entity more often than chance explains, over all pairs that met.
 
     Two passes over the texts: the contexts of protected values, then the occurrences of
     the few terms that stand beside one often enough. A bitmap of fixed size, made of
@@ -171,14 +188,14 @@ def disclosing_terms(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFra
     contexts = written(_contexts(with_spans(bodies), how), "contexts")
     held = contexts.select("entity", "passage", F.xxhash64("context").alias("where"),
                            F.explode(F.transform("context", _term)).alias("term"))
-    pairs = (
+    met = written(
         held.filter(F.col("term") != "").groupBy("entity", "term", "where").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("places"))
-        .filter(F.col("places") >= how.min_contexts)
-    )
+        .groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("places")), "met")
+    tested = met.count()
+    pairs = met.filter(F.col("places") >= how.min_contexts)
     whole = F.exists("spans", lambda s: (s["start"] == 0) & (s["end"] == F.length("term")))
     pairs = with_spans(pairs, "term").filter(~whole).select(*pairs.columns)
-    times = contexts.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    times = contexts.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"), F.sum(F.size("context")).alias("n_near"))
     pairs = written(pairs.join(times, "entity"), "beside")
     slot = F.pmod(F.xxhash64("term"), F.lit(how.slots))
     taken = [r["slot"] for r in pairs.select(slot.alias("slot")).distinct().collect()]  # at most ``slots``
@@ -192,11 +209,12 @@ def disclosing_terms(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFra
     joined = pairs.join(counts, "term")
     content = F.log2(F.lit(total) / F.col("n_entity"))
     shared = F.log2(F.col("n_both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term")))
-    close = joined.select("entity", "term", (shared / content).alias("disclosure"))
-    close = written(close.filter(F.col("disclosure") >= how.generalise_at), "close")
+    significant = F.col("evidence") >= math.log(max(tested, 1) / how.chance)
+    close = joined.select("entity", "term", (shared / content).alias("disclosure"), _evidence(total).alias("evidence"))
+    close = written(close.filter((F.col("disclosure") >= how.generalise_at) & significant), "close")
     rows = held.select("entity", "term", "passage").join(close.select("entity", "term"), ["entity", "term"])
     return (
-        close.join(_in_different_passages(rows, how.min_contexts), ["entity", "term"])
+        close.drop("evidence").join(_in_different_passages(rows, how.min_contexts), ["entity", "term"])
         .groupBy("term").agg(F.max("disclosure").alias("disclosure"))
     )
 
