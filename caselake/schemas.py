@@ -32,6 +32,7 @@ DATE_MIN = "2023-01-01"
 DAILY_QUOTA = 500
 TRAINING_QUOTA = 800
 
+# Names and types of the staged columns.
 STAGED_SCHEMA = T.StructType([
     T.StructField("complaint_id", T.LongType()),
     T.StructField("product", T.StringType()),
