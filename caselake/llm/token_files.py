@@ -85,31 +85,43 @@ def word_rule(content: str) -> tuple[re.Pattern, np.ndarray] | None:
     return re.compile(pattern), ends
 
 
+def word_tokenizer(content: str) -> Tokenizer:
+    """The tokenizer for plain lower-case words with a blank between: as ``word_rule`` has
+    cut them already, its model and byte step alone."""
+    spec = json.loads(content)
+    as_bytes = spec["pre_tokenizer"]["pretokenizers"][-1]
+    spec |= {"normalizer": None, "added_tokens": [],
+             "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, as_bytes]}}
+    return Tokenizer.from_str(json.dumps(spec))
+
+
 def id_kind(tokenizer: Tokenizer) -> np.dtype:
     """The smaller of two and four bytes that holds every id."""
     return np.dtype("<u2" if max(tokenizer.get_vocab().values()) < 1 << 16 else "<u4")
 
 
-class Chunks(dict):
+class Chunks:
     """Ids (bytes of ``kind``) per piece of text that the tokenizer treats by itself.
 
     It drops white space and nothing in it looks across, so a text's ids are those of
-    its pieces in order. Plain text is cut into words as the tokenizer cuts it, and new
-    words go to it many at a time. In any other text that is done for the plain runs
-    between ASCII white space; the other runs go to the tokenizer whole. A run that holds
-    the text of an added token goes whole to the tokenizer as the library sets it up, which
-    gives such a text its own id; its piece begins with a blank, since an equal word of
-    other text (made so by lower case) is ordinary text. Emptied when it holds ``CACHE``
-    pieces.
+    its runs between white space in order. A new plain run is cut into words as the
+    tokenizer cuts it, and new words go to it many at a time, past the steps that are
+    done then; any other run goes to the tokenizer whole. A run that holds the text of an
+    added token goes whole to the tokenizer as the library sets it up, which gives such a
+    text its own id; its piece begins with a blank, since an equal run of other text (made
+    so by lower case) is ordinary text. Runs and words are kept, each store being emptied
+    when it holds ``CACHE`` of them.
     """
 
     def __init__(self, content: str):
-        super().__init__()
+        self.runs: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.encode_special_tokens = True  # for pieces that hold none
         self.default = Tokenizer.from_str(content)
         self.rule, self.kind = word_rule(content), id_kind(self.tokenizer)
+        self.by_word = word_tokenizer(content) if self.rule else None
         tokens = json.loads(content).get("added_tokens", [])
         self.added = [t["content"] for t in tokens]
         # Found in the raw text and inside runs; otherwise no text can be cut.
@@ -123,15 +135,26 @@ class Chunks(dict):
     def learn_words(self, new: list[str]) -> None:
         """Many words per call, told apart by the ids that end a word."""
         groups = [new[start:start + 256] for start in range(0, len(new), 256)]
-        for group, ids in zip(groups, self.whole([" ".join(group) for group in groups])):
+        for group, ids in zip(groups, self.whole([" ".join(group) for group in groups], self.by_word)):
             stops = np.flatnonzero(self.rule[1][ids]) + 1
             if len(stops) == len(group) and stops[-1] == len(ids):
                 data, first = ids.tobytes(), 0
                 for word, stop in zip(group, (self.kind.itemsize * stops).tolist()):
-                    self[word] = data[first:stop]
+                    self.words[word] = data[first:stop]
                     first = stop
             else:
-                self.update((word, own.tobytes()) for word, own in zip(group, self.whole(group)))
+                self.words.update((word, own.tobytes()) for word, own in zip(group, self.whole(group)))
+
+    def learn_plain(self, runs: list[str]) -> None:
+        cut = [self.rule[0].findall(run) for run in runs]
+        wanted = set().union(*cut)
+        new = wanted.difference(self.words)
+        if len(self.words) + len(new) > CACHE:
+            self.words.clear()
+            new = wanted
+        self.learn_words(list(new))
+        get = self.words.__getitem__
+        self.runs.update((run, b"".join(map(get, words))) for run, words in zip(runs, cut))
 
     def holds_added(self, text: str) -> bool:
         return any(token in text for token in self.added)
@@ -141,30 +164,30 @@ class Chunks(dict):
             return [f" {text}"]
         held = self.holds_added(text)
         if self.rule and not held and PLAIN.fullmatch(text):
-            return self.rule[0].findall(text.lower())
+            return text.lower().split()  # plain text has no white space but that of ASCII
         out = []
         for run in RUN.findall(text):
             if held and self.holds_added(run):
                 out.append(f" {run}")
             else:
-                out += self.rule[0].findall(run.lower()) if self.rule and PLAIN.fullmatch(run) else [run]
+                out.append(run.lower() if self.rule and PLAIN.fullmatch(run) else run)
         return out
 
     def encode(self, bodies: list[bytes], end: bytes) -> list[bytes]:
         """Ids of each text as bytes, ``end`` after them."""
         texts = [self.pieces(body.decode()) for body in bodies]
         wanted = set().union(*texts)
-        new = wanted - self.keys()
-        if len(self) + len(new) > CACHE:
-            self.clear()
+        new = wanted.difference(self.runs)
+        if len(self.runs) + len(new) > CACHE:
+            self.runs.clear()
             new = wanted
         held = [piece for piece in new if piece.startswith(" ")]
-        words = [piece for piece in new.difference(held) if self.rule and PLAIN.fullmatch(piece)]
-        others = list(new.difference(held, words))
-        self.learn_words(words)
-        self.update((run, own.tobytes()) for run, own in zip(held, self.whole([h[1:] for h in held], self.default)))
-        self.update((run, own.tobytes()) for run, own in zip(others, self.whole(others)))
-        get = self.__getitem__
+        plain = [piece for piece in new.difference(held) if self.rule and PLAIN.fullmatch(piece)]
+        others = list(new.difference(held, plain))
+        self.learn_plain(plain)
+        self.runs.update((run, own.tobytes()) for run, own in zip(held, self.whole([h[1:] for h in held], self.default)))
+        self.runs.update((run, own.tobytes()) for run, own in zip(others, self.whole(others)))
+        get = self.runs.__getitem__
         return [b"".join(map(get, pieces)) + end for pieces in texts]
 
 
