@@ -32,6 +32,7 @@ from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +43,7 @@ from caselake.session import written
 U = np.uint64
 STEP = U(0x9E3779B97F4A7C15)
 END = xxhash.xxh64_intdigest(b"\n")  # no word holds white space
+BLOCK = 512  # bits, a cache line
 START = xxhash.xxh64_intdigest(b"\n\n")
 
 
@@ -60,7 +62,7 @@ class FilterSpec:
     prior: float = 1000.0
     max_bytes: int = 64 << 20
     segment_entries: int = 1 << 20
-    frequent: int = 1 << 18
+    frequent: int = 1 << 19
 
     def scale(self) -> np.ndarray:
         """Smallest count of every level, from level 1 on."""
@@ -92,6 +94,17 @@ def _tokens(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys, before, sizes
 
 
+def _slices(batch: pa.RecordBatch, room: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """Neighbouring rows of about ``room`` bytes of text together; a longer text is alone."""
+    ends = np.cumsum(pc.binary_length(batch.column("body")).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < batch.num_rows:
+        before = int(ends[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + room, side="right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def count_ngrams(bodies: DataFrame, buffered: int = 1 << 21) -> DataFrame:
     """(key, kind, n): words (kind 1) and pairs (kind 2); a task adds up runs of about
     ``buffered`` tokens before they are shuffled."""
@@ -112,8 +125,8 @@ def count_ngrams(bodies: DataFrame, buffered: int = 1 << 21) -> DataFrame:
                     ], ["key", "kind", "n"])
 
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                keys, before, _ = _tokens(batch.slice(start, 256).column("body").to_pylist())
+            for part in _slices(batch):
+                keys, before, _ = _tokens(part.column("body").to_pylist())
                 held.append((keys, before))
                 size += len(keys)
                 if size >= buffered:
@@ -135,19 +148,26 @@ class LogBloom:
     bits: int
     data: np.ndarray = field(repr=False)
 
-    def place(self, keys: np.ndarray, level: np.ndarray | int, hash_no: int) -> np.ndarray:
-        salt = U((hash_no + 1) * int(STEP) & (1 << 64) - 1)
-        at = scattered(keys + np.asarray(level).astype(U) * U(0xA24BAED4963EE407) + salt) % U(self.bits)
-        segment = keys >> U(65 - self.segments.bit_length()) if self.segments > 1 else np.zeros(len(keys), U)
-        return segment.astype(np.int64) * self.bits + at.astype(np.int64)
+    def place(self, keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first bit of the key's block, first place in it, step from place to place).
+
+        All bits of a key and level lie in one block, so a look-up touches one cache line."""
+        mixed = scattered(keys + U(level * 0xA24BAED4963EE407 & (1 << 64) - 1))
+        block = ((mixed >> U(32)) * U(self.bits // BLOCK) >> U(32)).astype(np.int64)
+        if self.segments > 1:
+            block += (keys >> U(65 - self.segments.bit_length())).astype(np.int64) * (self.bits // BLOCK)
+        low = (mixed & U(0xFFFFFFFF)).astype(np.int64)
+        return block * BLOCK, low, low >> 9 | 1
 
     def has(self, keys: np.ndarray, level: int) -> np.ndarray:
         """Is the level of each key set? Bits are probed while all before were set."""
         out = np.zeros(len(keys), bool)
-        left = np.arange(len(keys))
-        for i in range(self.spec.hashes):
-            at = self.place(keys[left], level, i)
-            left = left[(self.data[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
+        left, (base, at, step) = np.arange(len(keys)), self.place(keys, level)
+        for _ in range(self.spec.hashes):
+            bit = base + (at & BLOCK - 1)
+            hit = np.flatnonzero((self.data[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
+            left, base, step = left[hit], base[hit], step[hit]
+            at = at[hit] + step
             if not len(left):
                 return out
         out[left] = True
@@ -175,8 +195,9 @@ def _segment_rows(spec: FilterSpec, segments: int, bits: int, first_word: int, f
         marks = np.zeros(bits, bool)
         for at in range(1, int(level.max()) + 1):
             now = keys[(level >= at) & (lowest <= at)]
-            for i in range(spec.hashes if len(now) else 0):
-                marks[own.place(now, at, i)] = True
+            base, place, step = own.place(now, at)
+            for i in range(spec.hashes):
+                marks[base + (place + i * step & BLOCK - 1)] = True
         return pa.table({"segment": pa.array([rows.column("segment")[0].as_py()], pa.int64()),
                          "data": pa.array([np.packbits(marks, bitorder="little").tobytes()], pa.binary())})
 
@@ -195,6 +216,7 @@ class Model:
     texts: int
     frequent_keys: np.ndarray
     frequent_counts: np.ndarray
+    frequent_levels: np.ndarray | None = None
 
 
 def train(bodies: DataFrame, spec: FilterSpec = FilterSpec()) -> tuple[Model, DataFrame]:
@@ -227,7 +249,7 @@ def train(bodies: DataFrame, spec: FilterSpec = FilterSpec()) -> tuple[Model, Da
                 for (kind, lv), (g, _) in by_level.items() if kind == 1) + 1
     inside = entries(1, first_word) + entries(2, first_pair)
     segments = 1 << max(0, ceil(inside / spec.segment_entries) - 1).bit_length()
-    bits = max(1024, ceil(inside * per_entry / segments / 8) * 8)
+    bits = max(1024, ceil(inside * per_entry / segments / BLOCK) * BLOCK)
     shift = 65 - segments.bit_length()
     segment = F.shiftrightunsigned("key", shift) if segments > 1 else F.lit(0).cast("bigint")
     least = F.when(F.col("kind") == 1, int(scale[first_word - 1])).otherwise(int(scale[first_pair - 1]))
@@ -261,11 +283,28 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.m, self.scale = model, model.spec.scale().astype(np.float64)
+        if model.frequent_levels is None:  # looked up once per worker, which keeps the model
+            model.frequent_levels = model.bloom.levels(model.frequent_keys.view(U), model.first_word)
+
+    def places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place among the frequent words, whether the key is one)."""
+        frequent, signed = self.m.frequent_keys, keys.view(np.int64)
+        if not len(frequent):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(frequent, signed), len(frequent) - 1)
+        return at, frequent[at] == signed
+
+    def word_levels(self, keys: np.ndarray) -> np.ndarray:
+        at, hit = self.places(keys)
+        out = np.zeros(len(keys), np.int64)
+        out[hit] = self.m.frequent_levels[at[hit]]
+        out[~hit] = self.m.bloom.levels(keys[~hit], self.m.first_word)
+        return out
 
     def score(self, keys: np.ndarray, before: np.ndarray) -> np.ndarray:
         m = self.m
         known, back = np.unique(np.concatenate([keys, before]), return_inverse=True)
-        level = m.bloom.levels(known, m.first_word)
+        level = self.word_levels(known)
         low, next_low = np.append(0.0, self.scale)[level], self.scale[level]
         middle = np.where(level > 0, (low + next_low - 1) / 2, 0.0)
         upper = np.where(level > 0, next_low - 1, 0.0)
@@ -291,17 +330,13 @@ def score(docs: DataFrame, train_on: Column, spec: FilterSpec = FilterSpec()) ->
         m = sent.value
         scorer = Scorer(m)
         for batch in batches:
-            for start in range(0, batch.num_rows, 128):
-                part = batch.slice(start, 128)
+            for part in _slices(batch):
                 keys, before, sizes = _tokens(part.column("body").to_pylist())
                 edges = np.concatenate([[0], np.cumsum(sizes)])
                 logs = scorer.score(keys, before)
-                signed = keys.view(np.int64)
-                at = np.searchsorted(m.frequent_keys, signed)
-                at[at == len(m.frequent_keys)] = 0
-                hit = m.frequent_keys[at] == signed if len(m.frequent_keys) else np.zeros(len(signed), bool)
-                counts = np.where(hit, m.frequent_counts[at], 0) if len(m.frequent_keys) else np.zeros(len(signed))
-                base = np.where(hit, np.log10((counts + 1) / unit), 0.0)
+                signed, (at, hit) = keys.view(np.int64), scorer.places(keys)
+                base = np.zeros(len(keys))
+                base[hit] = np.log10((m.frequent_counts[at[hit]] + 1) / unit)
                 rare = [signed[a:b][~hit[a:b]] for a, b in zip(edges, edges[1:])]
                 ends = np.cumsum([0, *map(len, rare)], dtype=np.int32)
                 yield pa.RecordBatch.from_arrays([
