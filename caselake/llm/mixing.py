@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caselake.llm.common import WORD, by_row, row_key, whole_text
+from caselake.llm.common import WORD, row_key, whole_text
 from caselake.session import written
 
 # Weights of the sources by place in order, and the most a source is repeated.
@@ -186,13 +186,40 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST) -
 def repeat_rows(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST) -> DataFrame:
     """``docs`` as the mix holds them: every row as often as it is taken, or not at all.
 
-    Rows equal in id and text share their copies evenly, rounded up.
+    Rows equal in id, text and source share their copies: each gets the whole part of the
+    share, and the first ``copies mod rows`` of them, in the order of places they are
+    dealt to, one more. Places are slices of the written input's rows, and only a count per
+    place is ranked, so no group of equal rows is gathered.
     """
-    mixed = mix(docs, weights, most).groupBy("doc_id", "text_hash").agg(
+    own = F.xxhash64(F.col("source").isNull(), F.coalesce(F.col("source").cast("string"), F.lit("")))
+    mixed = mix(docs, weights, most).groupBy("doc_id", "text_hash", own.alias("source_hash")).agg(
         F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    marked = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"), *row_key())
-    each = F.ceil(F.col("_copies") / F.col("_rows")).cast("int")
+    # Row numbers are written, so that they stay the same when a task is run again.
+    marked = written(docs.select(
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"), *row_key(), own.alias("source_hash"),
+        F.monotonically_increasing_id().alias("_row")), "rows")
+    key = ["doc_id", "text_hash", "source_hash"]
+    many = mixed.filter((F.col("_copies") > 0) & (F.col("_copies") % F.col("_rows") > 0))
+    names = dict(zip(key, ("_d", "_t", "_s")))
+    same = lambda a, b: (a["doc_id"].eqNullSafe(b["_d"])
+                         & (a["text_hash"] == b["_t"]) & (a["source_hash"] == b["_s"]))
+    place = F.shiftright("_row", 33)  # the task that wrote the row
+    shared = many.select(*key).withColumnsRenamed(names)
+    slim = marked.select(*key, "_row", place.alias("_place"))
+    odd = slim.join(shared, same(slim, shared), "left_semi")
+    here = odd.groupBy(*key, "_place").agg(F.count(F.lit(1)).alias("_here"))
+    ahead = Window.partitionBy(*key).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)  # a row per task
+    before = here.withColumn("_before", F.coalesce(F.sum("_here").over(ahead), F.lit(0))).drop("_here")
+    rank = Window.partitionBy(*key, "_place").orderBy("_row")
+    numbered = odd.withColumn("_at", F.row_number().over(rank))
+    offsets = before.withColumnsRenamed(names | {"_place": "_p"})
+    at = numbered.join(offsets, same(numbered, offsets) & (numbered["_place"] == offsets["_p"])).select(
+        F.col("_row").alias("_r"), (F.col("_before") + F.col("_at")).alias("_number"))
+    taken = mixed.filter(F.col("_copies") > 0).withColumnsRenamed(names)
+    joined = marked.join(taken, same(marked, taken)).join(at, F.col("_row") == F.col("_r"), "left")
+    whole = F.floor(F.col("_copies") / F.col("_rows"))
+    more = F.when(F.col("_number") <= F.col("_copies") % F.col("_rows"), 1).otherwise(0)
     return (
-        by_row(marked, mixed.filter(F.col("_copies") > 0), "inner")
-        .select("doc", F.explode(F.sequence(F.lit(1), each)).alias("_n")).select("doc.*")
+        joined.withColumn("_times", (whole + more).cast("int")).filter(F.col("_times") > 0)
+        .select("doc", F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_n")).select("doc.*")
     )

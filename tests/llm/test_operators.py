@@ -245,6 +245,19 @@ def test_balance_of_two_groupings_meets_both(spark):
         assert sum(r["mass"] * r["rate"] for r in got if r[column] == value) == pytest.approx(target, rel=1e-4)
 
 
+def test_equal_rows_share_the_copies_of_their_own_source(spark):
+    rows = [(7, "w " * 20, "a")] * 200 + [(7, "w " * 20, "b")] * 80 + [(7, "w " * 20, None)] * 30
+    rows += [(100 + i, f"w{i} " * (1 + i % 9), "abc"[i % 3]) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(7)
+    planned, taken = Counter(), Counter()
+    for r in mixing.mix(docs).collect():
+        planned[r["doc_id"], r["source"]] += r["copies"]
+    for r in mixing.repeat_rows(docs).collect():
+        taken[r["doc_id"], r["source"]] += 1
+    assert taken == +planned
+    assert any(n % 200 for (i, s), n in planned.items() if (i, s) == (7, "a"))
+
+
 # Byte-level BPE
 
 def test_bpe_query(spark, texts):
