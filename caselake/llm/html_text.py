@@ -22,6 +22,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -44,9 +45,12 @@ ENDS_P = frozenset(
     "section table ul".split())
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<silent>{SILENT})\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</(?P=silent)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?/][^>]*>|(?P<text>[^<]+|<)",
+    rf"<!--.*?(?:-->|\Z)|<(?P<silent>{SILENT})\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>.*?(?:</(?P=silent)\s*>|\Z)"
+    r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*+)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<[!?/][^>]*>|(?P<text>[^<]+|<)",
     re.S | re.I)
+TAG_START = re.compile(r"</?[a-z]", re.I)
+OTHER_MARK = re.compile(r"</[^>]*>")
+QUOTED = re.compile(r"\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)")
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 NAME_WORD = re.compile(r"[a-z]+")
 
@@ -61,6 +65,30 @@ class Block:
     links: int = 0
 
 
+def tokens(page: str) -> Iterator[tuple[str | None, str | None, bool, str]]:
+    """(text, tag, whether it closes, rest of the tag) of every piece of mark-up or text.
+
+    That a tag has no end shows only in a look at the whole rest of the page. What that
+    look found is kept: a later start outside its quoted parts has no end either, so at
+    most three such looks are taken (no quote open, or one of two kinds).
+    """
+    at, failed, last = 0, [], page.rfind(">")
+    while at < len(page):
+        begins = TAG_START.match(page, at) is not None
+        endless = page[at] == "<" and at > last and not page.startswith("<!--", at)
+        if endless or begins and any(bisect_right(edges, at) % 2 == 0 for edges in failed):
+            other = None if endless else OTHER_MARK.match(page, at)
+            if other is None:
+                yield "<", None, False, ""
+            at = other.end() if other else at + 1
+            continue
+        token = TOKEN.match(page, at)
+        if begins and token["tag"] is None and token["silent"] is None:
+            failed.append([edge for part in QUOTED.finditer(page, at) for edge in part.span()])
+        yield token["text"], token["tag"], bool(token["close"]), token["rest"] or ""
+        at = token.end()
+
+
 def _path_words(tag: str, rest: str) -> str:
     """An element as its tag and the words of its class, id and role."""
     found = " ".join(a or b or c for a, b, c in NAMED.findall(rest)) if rest else ""
@@ -83,14 +111,12 @@ def blocks(page: str) -> list[Block]:
             parts = []
         links = 0
 
-    for token in TOKEN.finditer(page):
-        text = token["text"]
+    for text, tag, closing, rest in tokens(page):
         if text is not None:
             parts.append(text)
             if in_link:
                 links += len(text.strip())
             continue
-        tag = token["tag"]
         if tag is None:
             continue
         tag = tag.lower()
@@ -98,10 +124,10 @@ def blocks(page: str) -> list[Block]:
             if tag == "br":
                 parts.append(" ")
             elif tag == "a":
-                in_link = not token["close"]
+                in_link = not closing
             continue
         flush()
-        if token["close"]:
+        if closing:
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == tag:
                     del stack[depth:]
@@ -110,8 +136,8 @@ def blocks(page: str) -> list[Block]:
         closes = SELF_CLOSING.get(tag, set()) | ({"p"} if tag in ENDS_P else set())
         if closes and stack and stack[-1][0] in closes:
             stack.pop()
-        if tag not in VOID and not token["rest"].endswith("/"):
-            stack.append((tag, _path_words(tag, token["rest"])))
+        if tag not in VOID and not rest.endswith("/"):
+            stack.append((tag, _path_words(tag, rest)))
     flush()
     return [b for b in out if "head" not in (p.split(" ")[0] for p in b.path)]
 

@@ -6,6 +6,7 @@ import base64
 import hashlib
 import html
 import random
+import time
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -258,6 +259,13 @@ def test_equal_rows_share_the_copies_of_their_own_source(spark):
     assert any(n % 200 for (i, s), n in planned.items() if (i, s) == (7, "a"))
 
 
+@pytest.mark.parametrize("unit", ["<a ", '<a "', "<a '\"", "</a ", "<a", "<!", '<p "x>'])
+def test_broken_tags_are_read_in_linear_time(unit):
+    start = time.monotonic()
+    html_text.blocks(unit * (1_000_000 // len(unit)) + '"')
+    assert time.monotonic() - start < 20
+
+
 # Byte-level BPE
 
 def test_bpe_query(spark, texts):
