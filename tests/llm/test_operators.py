@@ -6,8 +6,8 @@ import base64
 import hashlib
 import html
 import random
-import time
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from math import log10
