@@ -32,12 +32,11 @@ from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caselake.llm.common import whole_text
+from caselake.llm.common import slices, whole_text
 from caselake.session import written
 
 U = np.uint64
@@ -94,17 +93,6 @@ def _tokens(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys, before, sizes
 
 
-def _slices(batch: pa.RecordBatch, room: int = 1 << 21) -> Iterator[pa.RecordBatch]:
-    """Neighbouring rows of about ``room`` bytes of text together; a longer text is alone."""
-    ends = np.cumsum(pc.binary_length(batch.column("body")).to_numpy(zero_copy_only=False).astype(np.int64))
-    first = 0
-    while first < batch.num_rows:
-        before = int(ends[first - 1]) if first else 0
-        last = max(first + 1, int(np.searchsorted(ends, before + room, side="right")))
-        yield batch.slice(first, last - first)
-        first = last
-
-
 def count_ngrams(bodies: DataFrame, buffered: int = 1 << 21) -> DataFrame:
     """(key, kind, n): words (kind 1) and pairs (kind 2); a task adds up runs of about
     ``buffered`` tokens before they are shuffled."""
@@ -125,7 +113,7 @@ def count_ngrams(bodies: DataFrame, buffered: int = 1 << 21) -> DataFrame:
                     ], ["key", "kind", "n"])
 
         for batch in batches:
-            for part in _slices(batch):
+            for part in slices(batch, "body", 1 << 21):
                 keys, before, _ = _tokens(part.column("body").to_pylist())
                 held.append((keys, before))
                 size += len(keys)
@@ -330,7 +318,7 @@ def score(docs: DataFrame, train_on: Column, spec: FilterSpec = FilterSpec()) ->
         m = sent.value
         scorer = Scorer(m)
         for batch in batches:
-            for part in _slices(batch):
+            for part in slices(batch, "body", 1 << 21):
                 keys, before, sizes = _tokens(part.column("body").to_pylist())
                 edges = np.concatenate([[0], np.cumsum(sizes)])
                 logs = scorer.score(keys, before)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,3 +77,14 @@ def paired(left: Column, right: Column, shift: int, n: Column) -> Column:
     on in ``right``; nothing where ``n`` is not positive."""
     n = F.greatest(n, F.lit(0))
     return F.zip_with(F.slice(left, F.lit(1), n), F.slice(right, F.lit(shift + 1), n), lambda a, b: F.xxhash64(a, b))
+
+
+def slices(batch: pa.RecordBatch, column: str, room: int) -> Iterator[pa.RecordBatch]:
+    """Neighbouring rows of about ``room`` bytes in ``column`` together; a longer one is alone."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < batch.num_rows:
+        before = int(ends[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + room, side="right")))
+        yield batch.slice(first, last - first)
+        first = last

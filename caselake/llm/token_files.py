@@ -30,15 +30,18 @@ import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain, compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from caselake.llm.common import WORD, row_key, whole_text
+from caselake.llm.common import WORD, row_key, slices, whole_text
 from caselake.session import new_path, written
 
 HEADER = struct.Struct("<4sHHIQQI")
@@ -61,9 +64,10 @@ class FileSpec:
     shard: int = 1 << 19
 
 
-def word_rule(content: str) -> tuple[re.Pattern, np.ndarray] | None:
-    """(pattern that cuts plain lower-case text into words, ids that end a word), from the
-    tokenizer's file; None where it does not work by separate words with a marked end."""
+def word_rule(content: str) -> tuple[re.Pattern, np.ndarray, bool] | None:
+    """(pattern that cuts plain lower-case text into words, ids that end a word, whether a
+    run of letters is one word), from the tokenizer's file; None where it does not work by
+    separate words with a marked end."""
     spec = json.loads(content)
     steps = (spec.get("normalizer") or {}).get("normalizers", [])
     cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
@@ -74,6 +78,9 @@ def word_rule(content: str) -> tuple[re.Pattern, np.ndarray] | None:
     if not mark or cut["behavior"] != "Removed" or not cut["invert"] or as_bytes["use_regex"] or as_bytes["add_prefix_space"]:
         return None
     pattern = cut["pattern"]["Regex"]
+    branches = pattern.split("|")
+    letters = r"[\p{L}]+"
+    one_word = letters in branches and all(b.startswith("'") for b in branches[:branches.index(letters)])
     for kind in "LN":  # spelled out for plain characters: this takes less than half the time
         members = "".join(c for c in map(chr, range(0x180)) if PLAIN.fullmatch(c) and unicodedata.category(c)[0] == kind)
         pattern = pattern.replace(rf"\p{{{kind}}}", members)
@@ -82,7 +89,7 @@ def word_rule(content: str) -> tuple[re.Pattern, np.ndarray] | None:
     vocabulary = spec["model"]["vocab"]
     ends = np.zeros(max(vocabulary.values()) + 1, bool)
     ends[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
-    return re.compile(pattern), ends
+    return re.compile(pattern), ends, one_word
 
 
 def word_tokenizer(content: str) -> Tokenizer:
@@ -145,27 +152,32 @@ class Chunks:
             else:
                 self.words.update((word, own.tobytes()) for word, own in zip(group, self.whole(group)))
 
-    def learn_plain(self, runs: list[str]) -> None:
-        cut = [self.rule[0].findall(run) for run in runs]
-        wanted = set().union(*cut)
+    def learn_plain(self, runs: set[str]) -> None:
+        """New runs of plain text; one of letters alone may be a word as it stands."""
+        single = set(filter(str.isalpha, runs)) if self.rule[2] else set()
+        mixed = list(runs - single)
+        cut = list(map(self.rule[0].findall, mixed))
+        wanted = single.union(*cut)
         new = wanted.difference(self.words)
         if len(self.words) + len(new) > CACHE:
             self.words.clear()
             new = wanted
         self.learn_words(list(new))
         get = self.words.__getitem__
-        self.runs.update((run, b"".join(map(get, words))) for run, words in zip(runs, cut))
+        self.runs.update((word, get(word)) for word in single)
+        self.runs.update((run, b"".join(map(get, words))) for run, words in zip(mixed, cut))
 
     def holds_added(self, text: str) -> bool:
         return any(token in text for token in self.added)
 
+    def is_plain(self, text: str) -> bool:
+        return bool(self.rule and self.cuts and PLAIN.fullmatch(text) and not self.holds_added(text))
+
     def pieces(self, text: str) -> list[str]:
+        """Pieces of a text that is not plain."""
         if not self.cuts:
             return [f" {text}"]
-        held = self.holds_added(text)
-        if self.rule and not held and PLAIN.fullmatch(text):
-            return text.lower().split()  # plain text has no white space but that of ASCII
-        out = []
+        out, held = [], self.holds_added(text)
         for run in RUN.findall(text):
             if held and self.holds_added(run):
                 out.append(f" {run}")
@@ -173,22 +185,46 @@ class Chunks:
                 out.append(run.lower() if self.rule and PLAIN.fullmatch(run) else run)
         return out
 
-    def encode(self, bodies: list[bytes], end: bytes) -> list[bytes]:
-        """Ids of each text as bytes, ``end`` after them."""
-        texts = [self.pieces(body.decode()) for body in bodies]
-        wanted = set().union(*texts)
-        new = wanted.difference(self.runs)
-        if len(self.runs) + len(new) > CACHE:
+    def learn(self, plain: set[str], unsorted: set[str]) -> None:
+        if len(self.runs) + len(plain) + len(unsorted) > CACHE:
             self.runs.clear()
-            new = wanted
-        held = [piece for piece in new if piece.startswith(" ")]
-        plain = [piece for piece in new.difference(held) if self.rule and PLAIN.fullmatch(piece)]
-        others = list(new.difference(held, plain))
-        self.learn_plain(plain)
+        held = [piece for piece in unsorted if piece.startswith(" ")]
+        more = {piece for piece in unsorted.difference(held) if self.rule and PLAIN.fullmatch(piece)}
+        others = list(unsorted.difference(held, more))
+        if self.rule:
+            self.learn_plain(plain | more)
         self.runs.update((run, own.tobytes()) for run, own in zip(held, self.whole([h[1:] for h in held], self.default)))
         self.runs.update((run, own.tobytes()) for run, own in zip(others, self.whole(others)))
-        get = self.runs.__getitem__
-        return [b"".join(map(get, pieces)) + end for pieces in texts]
+
+    def encode(self, bodies: list[bytes], end: bytes) -> list[bytes]:
+        """Ids of each text as bytes, ``end`` after them. Different pieces are looked up once;
+        new ones are learnt together. Plain texts are lower-cased and cut by Arrow."""
+        texts = [body.decode() for body in bodies]
+        plain = list(map(self.is_plain, texts))
+        lists = pc.ascii_split_whitespace(pc.utf8_lower(pa.array(compress(texts, plain), pa.large_string())))
+        cut = [self.pieces(text) for text, known in zip(texts, plain) if not known]
+        flat = [(lists.values, np.diff(lists.offsets.to_numpy())),
+                (pa.array(chain.from_iterable(cut), pa.large_string()), np.array(list(map(len, cut)), np.int64))]
+        coded = [values.dictionary_encode() for values, _ in flat]
+        names = [c.dictionary.to_numpy(zero_copy_only=False).tolist() for c in coded]
+        found = [list(map(self.runs.get, own)) for own in names]
+        new = [set(compress(own, map(is_, ids, repeat(None)))) for own, ids in zip(names, found)]
+        if any(new):
+            self.learn(*new)
+            get = self.runs.__getitem__
+            found = [[get(piece) if own is None else own for piece, own in zip(*both)] for both in zip(names, found)]
+        done = [iter(self.texts(ids, c.indices.to_numpy(), sizes, end)) for ids, c, (_, sizes) in zip(found, coded, flat)]
+        return [next(done[0] if known else done[1]) for known in plain]
+
+    def texts(self, ids: list[bytes], order: np.ndarray, sizes: np.ndarray, end: bytes) -> Iterator[bytes]:
+        """Ids of each text of ``sizes`` pieces, its pieces being ``ids`` taken in ``order``."""
+        store, width = np.frombuffer(b"".join(ids), self.kind), np.array(list(map(len, ids)), np.int64) // self.kind.itemsize
+        first, n = (np.cumsum(width) - width)[order], width[order]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        out = store[np.repeat(first - ends[:-1], n) + np.arange(ends[-1])]
+        edges = ends[np.concatenate([[0], np.cumsum(sizes)])]
+        for start, stop in zip(edges.tolist(), edges[1:].tolist()):
+            yield out[start:stop].tobytes() + end
 
 
 @lru_cache(maxsize=1)
@@ -208,7 +244,7 @@ def encoded(docs: DataFrame, content: str, spec: FileSpec) -> DataFrame:
         chunks = worker_chunks(content)
         end = np.array([spec.end_id], chunks.kind).tobytes()
         for batch in batches:
-            for part in _batches(batch):
+            for part in slices(batch, "body", 1 << 22):
                 ids = chunks.encode(part.column("body").to_pylist(), end)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("text_hash"), pa.array(ids, pa.binary())],
