@@ -449,19 +449,51 @@ def test_lm_query(spark, texts):
 def test_filter_never_forgets_and_rarely_invents(spark):
     spec = bloom_lm.FilterSpec()
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(F.col("text").cast("binary").alias("body"))
-    model, words = bloom_lm.train(docs, spec)
+    model, words, _ = bloom_lm.train(docs, spec)
     rows = words.toPandas()
     keys = rows["key"].to_numpy().view(np.uint64)
-    level, truth = model.bloom.levels(keys, model.first_word), spec.level(rows["n"].to_numpy())
+    level, truth = model.bloom.levels(keys), spec.level(rows["n"].to_numpy())
     assert (level >= truth).all() and (level > truth).mean() < 0.02
     strangers = np.random.default_rng(3).integers(0, 1 << 63, 20_000).astype(np.uint64)
     assert (model.bloom.levels(strangers) > 0).mean() < 0.02
 
 
-def test_filter_stays_within_its_bound(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(F.col("text").cast("binary").alias("body"))
-    model, _ = bloom_lm.train(docs, bloom_lm.FilterSpec(max_bytes=40_000, segment_entries=4000))
-    assert len(model.bloom.data) <= 41_000 and model.first_word > 1
+def test_a_filter_of_any_size_gives_the_same_scores(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(spark.createDataFrame([(None, "of no id"), (-1, None), (-2, "")], docs.schema))
+    sent, kept = [
+        {(r["doc_id"], r["n_tokens"]): r for r in bloom_lm.score(
+            docs, F.col("doc_id") % 5 != 0, bloom_lm.FilterSpec(max_bytes=size, segment_entries=4000, frequent=300)).collect()}
+        for size in (64 << 20, 1000)]
+    assert sent.keys() == kept.keys() and len(sent) > 90
+    for at, r in sent.items():
+        assert r["score"] == pytest.approx(kept[at]["score"], rel=1e-12)
+        assert r["base_score"] == pytest.approx(kept[at]["base_score"], rel=1e-12) and r["n_known"] == kept[at]["n_known"]
+
+
+def test_scores_are_those_of_rounded_counts(spark, texts):
+    spec = bloom_lm.FilterSpec(hashes=20)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    rows = bloom_lm.score(docs, F.col("doc_id") % 5 != 0, spec).collect()
+    tokens = lambda t: ["start", *[w.lower() for w in t.encode().split()], b"\n"]
+    learnt = [tokens(t) for k, t in texts.items() if k % 5]
+    words, pairs = Counter(w for t in learnt for w in t[1:]), Counter(p for t in learnt for p in zip(t, t[1:]))
+    scale = spec.scale().tolist()
+    edges = {w: (scale[int(spec.level(n)) - 1], scale[int(spec.level(n))]) for w, n in words.items()}
+    total = sum((low + high - 1) / 2 + 1 for low, high in edges.values()) + 1
+    exact = 0
+    for r in rows:
+        own, expected = tokens(texts[r["doc_id"]]), 0.0
+        for h, w in zip(own, own[1:]):
+            low, high = edges.get(w, (1, 0))
+            word = ((low + high - 1) / 2 + 1) / total
+            context = len(learnt) if h == "start" else edges.get(h, (1, 1))[1] - 1
+            n = pairs[h, w]
+            both = min(scale[int(spec.level(n)) - 1] if n >= spec.min_pair else 0, context, max(high - 1, 0))
+            expected += log10((both + spec.prior * word) / (context + spec.prior))
+        assert r["score"] == pytest.approx(expected, rel=0.02)  # a false hit moves one token
+        exact += r["score"] == pytest.approx(expected, rel=1e-9)
+    assert exact >= 0.8 * len(rows)
 
 
 # Jaccard join
