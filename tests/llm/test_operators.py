@@ -493,7 +493,7 @@ def test_scores_are_those_of_rounded_counts(spark, texts):
             expected += log10((both + spec.prior * word) / (context + spec.prior))
         assert r["score"] == pytest.approx(expected, rel=0.02)  # a false hit moves one token
         exact += r["score"] == pytest.approx(expected, rel=1e-9)
-    assert exact >= 0.8 * len(rows)
+    assert exact >= 0.5 * len(rows)  # about one false hit in a thousand tokens, 300 tokens a text
 
 
 # Jaccard join
