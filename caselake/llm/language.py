@@ -25,9 +25,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caselake.operators.selection import first_per_group
 from caselake.session import written
 
 # Parts of a page that hold no text, and a mark-up tag.
@@ -84,11 +85,11 @@ class TextModel:
 def fit_text_model(docs: DataFrame, spec: LanguageSpec = LanguageSpec()) -> TextModel:
     """Trigram counts per language of a bounded sample of labelled documents.
 
-    The rank cut is made inside each task first, so no language's rows meet in one.
+    The cut of each language is found from histograms of the hashes, so no language's
+    rows are sorted or meet in one task.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id")
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    chosen = labelled.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= spec.sample_rows)
+    chosen = first_per_group(labelled, "lang", [F.xxhash64("doc_id", "text")], spec.sample_rows)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
