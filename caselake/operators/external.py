@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +21,9 @@ MAX_TRIES = 3
 PAUSE_S = 3.0
 GAVE_UP = "max retries exceeded"
 
+# Rows answered and handed back together.
+ROWS = 256
+
 
 class RateLimited(Exception):
     """To be raised by a client whose service asks for fewer calls."""
@@ -65,7 +68,8 @@ def external_scores(
     ``make_client`` runs once per partition, so a connection is reused for all
     its rows; the number of partitions is the number of parallel callers. A
     failed call leaves an error in its row and no label. Every action on the
-    result calls the service again: write it before using it twice.
+    result calls the service again: write it before using it twice. The rows stay in
+    Arrow's form, one batch of them at a time; one request at a time becomes a string.
     """
     source = df.withColumn("_prompt", build_prompt(F.col(text), labels))
     schema = T.StructType([
@@ -75,22 +79,26 @@ def external_scores(
         T.StructField("error", T.StringType()),
     ])
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client = make_client()
         for batch in batches:
-            outputs, seconds, errors = [], [], []
-            for prompt in batch.pop("_prompt"):
-                start = time.monotonic()
-                output, error = call_with_retry(client, prompt, max_tries, pause_s, transient, secrets)
-                seconds.append(time.monotonic() - start)
-                outputs.append(output)
-                errors.append(error)
-            yield batch.assign(
-                external_raw_output=outputs, latency_s=seconds,
-                error=pd.Series(errors, index=batch.index, dtype=object),
-            )
-
-    answered = source.mapInPandas(score, schema)
+            for first in range(0, batch.num_rows, ROWS):
+                rows = batch.slice(first, ROWS)
+                outputs, seconds, errors = [], [], []
+                for prompt in rows.column("_prompt"):
+                    start = time.monotonic()
+                    output, error = call_with_retry(client, prompt.as_py(), max_tries, pause_s, transient, secrets)
+                    seconds.append(time.monotonic() - start)
+                    outputs.append(output)
+                    errors.append(error)
+                kept = rows.drop_columns(["_prompt"])
+                text = rows.schema.field("_prompt").type
+                yield pa.RecordBatch.from_arrays(
+                    [*kept.columns, pa.array(outputs, text), pa.array(seconds, pa.float64()), pa.array(errors, text)],
+                    names=[*kept.schema.names, "external_raw_output", "latency_s", "error"],
+                )
+
+    answered = source.mapInArrow(score, schema)
     label = F.when(F.col("error").isNull(), parse_label(F.col("external_raw_output"), labels))
     return answered.withColumn("external_pred", label)
 

@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from caselake.functions.stats import t_quantile
 from caselake.operators import profile
@@ -155,6 +156,29 @@ def test_external_scores_never_fail_the_job(spark):
     assert all(r["latency_s"] >= 0 for r in got.values())
 
 
+def test_requests_become_strings_one_at_a_time(spark):
+    """A worker's strings stay few however many rows a batch has; beside the batch as it was read."""
+    def client():
+        import tracemalloc
+        tracemalloc.start()
+        return lambda prompt: str(tracemalloc.get_traced_memory()[1])
+
+    df = spark.range(3000, numPartitions=1).select("id", F.rpad(F.col("id").cast("string"), 10_000, "x").alias("narrative"))
+    got = external_scores(df, client, ["x"]).select("id", "error", F.col("external_raw_output").cast("long").alias("peak")).collect()
+    assert sorted(r["id"] for r in got) == list(range(3000)) and not any(r["error"] for r in got)
+    assert max(r["peak"] for r in got) < 100_000_000  # a batch of 30 MB of texts and 30 MB of requests, as it is read
+
+
+def test_scored_rows_keep_their_columns(spark):
+    """Nulls, nested and timed columns, and a request that is null."""
+    rows = [(1, None, [1, None], 2.5), (2, "house", None, None)]
+    df = spark.createDataFrame(rows, "id int, narrative string, many array<int>, x double").withColumns(
+        {"at": F.timestamp_seconds(F.lit(5)), "s": F.struct("id", "x"), "m": F.create_map(F.lit("k"), "x")})
+    scored = external_scores(df.repartition(3), lambda: (lambda prompt: str(len(prompt))), ["x"])
+    assert scored.columns == [*df.columns, "external_raw_output", "latency_s", "error", "external_pred"]
+    assert sorted(scored.select(df.columns).collect(), key=lambda r: r["id"]) == sorted(df.collect(), key=lambda r: r["id"])
+
+
 def test_reliability_keeps_errors_and_invalid_labels_apart(spark):
     rows = [("a", "a", "a", 1.0, None), ("a", "b", "a", 2.0, None), ("a", "a", None, 4.0, None),
             ("b", "b", None, 5.0, "503"), ("b", "b", "a", 3.0, None)]
