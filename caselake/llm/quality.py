@@ -34,18 +34,33 @@ class QualityRules:
     trusted_rows: int = 20_000
 
 
-# Words of a repeated window, characters that count as symbols.
+# Words of a repeated window, code points of a short word, characters that
+# count as symbols.
 WINDOW = 8
+SHORT = 64
 SYMBOLS = r"[#*$%&|<>]"
 
 
-def _slot(word: Column, buckets: int) -> Column:
-    """Slot of a word's edge trigram: its first character and its last two.
+def with_slots(df: DataFrame, buckets: int) -> DataFrame:
+    """Add ``slots``: those of all character trigrams of ``words``, each word with a blank
+    at both ends, in text order.
 
-    The edges see case, digits and attached signs also in words met only once, and
-    few different ones exist, so their counts are well estimated.
+    They see case, digits and signs also in words met only once, and common ones are
+    well estimated. A substring takes time by its place, so only short words are cut
+    by it; long ones are taken apart once.
     """
-    return F.pmod(F.xxhash64(F.substring(word, 1, 1), F.substring(word, -2, 2)), F.lit(buckets))
+    join = lambda a, b: F.concat(a, b)
+
+    def grams(word: Column) -> Column:
+        short = F.transform(F.sequence(F.lit(1), F.length(word) - 2), lambda i: F.substring(word, i, F.lit(3)))
+        chars = F.split(word, "")
+        n = F.size(chars) - 2
+        two = F.zip_with(F.slice(chars, F.lit(1), n), F.slice(chars, F.lit(2), n), join)
+        return F.when(F.length(word) <= SHORT, short).otherwise(F.zip_with(two, F.slice(chars, F.lit(3), n), join))
+
+    marked = F.transform("words", lambda word: F.concat(F.lit(" "), word, F.lit(" ")))
+    slot = lambda gram: F.pmod(F.xxhash64(gram), F.lit(buckets)).cast("int")
+    return df.withColumn("slots", F.transform(F.flatten(F.transform(marked, grams)), slot))
 
 
 def trusted_ids(labels: DataFrame, rows: int) -> DataFrame:
@@ -60,16 +75,17 @@ def trusted_ids(labels: DataFrame, rows: int) -> DataFrame:
 def log_ratios(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules()) -> Column:
     """ln(p_target / p_corpus) of every slot, add-one smoothed, as one constant array.
 
-    One pass over all words; a task combines its counts to at most ``buckets`` rows
+    One pass over all trigrams; a task combines its counts to at most ``buckets`` rows
     before they are shuffled. The trusted ids broadcast are at most ``trusted_rows``.
     """
     trusted = F.broadcast(trusted_ids(labels, rules.trusted_rows).withColumn("_trusted", F.lit(1)))
-    words = (
-        docs.select("doc_id", "text").join(trusted, "doc_id", "left")
-        .select(F.coalesce("_trusted", F.lit(0)).alias("target"),
-                F.explode(words_of(whole_text())).alias("word"))
+    words = docs.select("doc_id", words_of(whole_text()).alias("words"))
+    grams = (
+        with_slots(words, rules.buckets).join(trusted, "doc_id", "left")
+        .select(F.coalesce("_trusted", F.lit(0)).alias("target"), F.explode_outer("slots").alias("slot"))
+        .filter(F.col("slot").isNotNull())
     )
-    counts = words.groupBy(_slot(F.col("word"), rules.buckets).alias("slot")).agg(
+    counts = grams.groupBy("slot").agg(
         F.count(F.lit(1)).alias("corpus"), F.sum("target").alias("target")
     )
     n = rules.buckets
@@ -142,12 +158,12 @@ def assess(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRule
     """
     ratios = log_ratios(docs, labels, rules)
     packed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"), whole_text().alias("body"))
-    judged = rule_figures(packed.withColumn("words", words_of(F.col("body"))), rules)
+    judged = with_slots(rule_figures(packed.withColumn("words", words_of(F.col("body"))), rules), rules.buckets)
 
-    add = lambda total, word: total + F.get(ratios, _slot(word, rules.buckets).cast("int"))
-    score = F.aggregate("words", F.lit(0.0), add) / F.greatest(F.col("n_words"), F.lit(1))
+    add = lambda total, slot: total + F.get(ratios, slot)
+    score = F.aggregate("slots", F.lit(0.0), add) / F.greatest(F.size("slots"), F.lit(1))
     return (
-        judged.withColumn("score", score).drop("words")
+        judged.withColumn("score", score).drop("words", "slots")
         .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= rules.threshold))
     )
 
