@@ -41,9 +41,8 @@ SHORT = 64
 SYMBOLS = r"[#*$%&|<>]"
 
 
-def with_slots(df: DataFrame, buckets: int) -> DataFrame:
-    """Add ``slots``: those of all character trigrams of ``words``, each word with a blank
-    at both ends, in text order.
+def _trigrams(words: Column) -> Column:
+    """All character trigrams of ``words``, each word with a blank at both ends, in text order.
 
     They see case, digits and signs also in words met only once, and common ones are
     well estimated. A substring takes time by its place, so only short words are cut
@@ -58,9 +57,40 @@ def with_slots(df: DataFrame, buckets: int) -> DataFrame:
         two = F.zip_with(F.slice(chars, F.lit(1), n), F.slice(chars, F.lit(2), n), join)
         return F.when(F.length(word) <= SHORT, short).otherwise(F.zip_with(two, F.slice(chars, F.lit(3), n), join))
 
-    marked = F.transform("words", lambda word: F.concat(F.lit(" "), word, F.lit(" ")))
-    slot = lambda gram: F.pmod(F.xxhash64(gram), F.lit(buckets)).cast("int")
-    return df.withColumn("slots", F.transform(F.flatten(F.transform(marked, grams)), slot))
+    marked = F.transform(words, lambda word: F.concat(F.lit(" "), word, F.lit(" ")))
+    return F.flatten(F.transform(marked, grams))
+
+
+def _slot(gram: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(gram), F.lit(buckets)).cast("int")
+
+
+def with_slots(df: DataFrame, buckets: int) -> DataFrame:
+    """Add ``slots``: those of all trigrams of ``words``, in text order."""
+    return df.withColumn("slots", F.transform(_trigrams(F.col("words")), lambda gram: _slot(gram, buckets)))
+
+
+def slot_rows(df: DataFrame, buckets: int, *keep: str) -> DataFrame:
+    """One row per trigram of ``words``: its ``slot`` and the columns ``keep``.
+
+    Texts of short words only, nearly all, are taken apart by explodes, which Spark
+    compiles, where a lambda is interpreted; in the others the trigrams come as arrays
+    and each passes as a piece of its own. The outer forms keep Spark from splitting
+    every text once more to test for emptiness.
+    """
+    long = F.exists("words", lambda word: F.length(word) > SHORT - 2)
+    taken = F.when(F.col("_cut"), _trigrams(F.col("words"))).otherwise(F.col("words"))
+    piece = F.when(F.col("_cut"), F.col("_piece")).otherwise(F.concat(F.lit(" "), "_piece", F.lit(" ")))
+    places = F.sequence(F.lit(1), F.length("_piece") - 2)
+    return (
+        df.select(*keep, "words", long.alias("_cut"))
+        .select(*keep, "_cut", taken.alias("_pieces"))
+        .select(*keep, "_cut", F.explode_outer("_pieces").alias("_piece"))
+        .filter(F.col("_piece").isNotNull())
+        .select(*keep, piece.alias("_piece"))
+        .select(*keep, "_piece", F.explode_outer(places).alias("_at"))
+        .select(*keep, _slot(F.substring("_piece", F.col("_at"), F.lit(3)), buckets).alias("slot"))
+    )
 
 
 def trusted_ids(labels: DataFrame, rows: int) -> DataFrame:
@@ -80,12 +110,8 @@ def log_ratios(docs: DataFrame, labels: DataFrame, rules: QualityRules = Quality
     """
     trusted = F.broadcast(trusted_ids(labels, rules.trusted_rows).withColumn("_trusted", F.lit(1)))
     words = docs.select("doc_id", words_of(whole_text()).alias("words"))
-    grams = (
-        with_slots(words, rules.buckets).join(trusted, "doc_id", "left")
-        .select(F.coalesce("_trusted", F.lit(0)).alias("target"), F.explode_outer("slots").alias("slot"))
-        .filter(F.col("slot").isNotNull())
-    )
-    counts = grams.groupBy("slot").agg(
+    marked = words.join(trusted, "doc_id", "left").withColumn("target", F.coalesce("_trusted", F.lit(0)))
+    counts = slot_rows(marked, rules.buckets, "target").groupBy("slot").agg(
         F.count(F.lit(1)).alias("corpus"), F.sum("target").alias("target")
     )
     n = rules.buckets

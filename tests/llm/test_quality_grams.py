@@ -13,3 +13,17 @@ def test_every_trigram_has_a_slot(spark, monkeypatch):
     assert [r["slots"] for r in quality.with_slots(df, 1000).collect()] == [expected, []]
     monkeypatch.setattr(quality, "SHORT", 3)
     assert [r["slots"] for r in quality.with_slots(df, 1000).collect()] == [expected, []]
+
+
+def test_slot_rows_are_the_slots_of_all_words(spark, monkeypatch):
+    """Row by row as the arrays say, texts with long words or none included, and compiled."""
+    rows = [(1, ["stated", "a", "né", "😀b"]), (0, ["x" * 70 + "yz", "a"]), (1, []), (0, ["x" * 62, "y" * 63]), (1, ["stated"])]
+    df = spark.createDataFrame(rows, "target int, words array<string>")
+    expected = sorted((r["target"], s) for r in quality.with_slots(df, 1000).collect() for s in r["slots"])
+    made = quality.slot_rows(df, 1000, "target")
+    assert made.columns == ["target", "slot"]
+    assert sorted(map(tuple, made.collect())) == expected
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert not any("Generate" in line and "lambda" in line for line in plan.splitlines())
+    monkeypatch.setattr(quality, "SHORT", 4)
+    assert sorted(map(tuple, quality.slot_rows(df, 1000, "target").collect())) == expected
