@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caselake.llm.common import SPACES, constant_array, paired, whole_text, words_of
+from caselake.session import written
 
 
 @dataclass(frozen=True)
@@ -34,10 +35,11 @@ class QualityRules:
     trusted_rows: int = 20_000
 
 
-# Words of a repeated window, code points of a short word, characters that
-# count as symbols.
+# Words of a repeated window, code points of a short word, places for words
+# whose sums are looked up, characters that count as symbols.
 WINDOW = 8
 SHORT = 64
+PLACES = 1 << 16
 SYMBOLS = r"[#*$%&|<>]"
 
 
@@ -102,18 +104,28 @@ def trusted_ids(labels: DataFrame, rows: int) -> DataFrame:
     )
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules()) -> Column:
-    """ln(p_target / p_corpus) of every slot, add-one smoothed, as one constant array.
+def word_counts(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
+    """(word, corpus, target): how often each word occurs in all rows and in the trusted ones.
 
-    One pass over all trigrams; a task combines its counts to at most ``buckets`` rows
-    before they are shuffled. The trusted ids broadcast are at most ``trusted_rows``.
+    Written, as it is read twice. Words are counted inside each task before they are
+    shuffled. The trusted ids broadcast are at most ``trusted_rows``.
     """
     trusted = F.broadcast(trusted_ids(labels, rules.trusted_rows).withColumn("_trusted", F.lit(1)))
     words = docs.select("doc_id", words_of(whole_text()).alias("words"))
     marked = words.join(trusted, "doc_id", "left").withColumn("target", F.coalesce("_trusted", F.lit(0)))
-    counts = slot_rows(marked, rules.buckets, "target").groupBy("slot").agg(
-        F.count(F.lit(1)).alias("corpus"), F.sum("target").alias("target")
-    )
+    each = marked.select("target", F.explode_outer("words").alias("word")).filter(F.col("word").isNotNull())
+    return written(each.groupBy("word").agg(
+        F.count(F.lit(1)).alias("corpus"), F.sum("target").alias("target")), "word-counts")
+
+
+def log_ratios(words: DataFrame, rules: QualityRules = QualityRules()) -> Column:
+    """ln(p_target / p_corpus) of every slot, add-one smoothed, as one constant array.
+
+    All trigrams of all words count, from the rows of ``word_counts``: each different
+    word is taken apart once and weighs as often as it occurs.
+    """
+    each = slot_rows(words.withColumn("words", F.array("word")), rules.buckets, "corpus", "target")
+    counts = each.groupBy("slot").agg(F.sum("corpus"), F.sum("target"))
     n = rules.buckets
     corpus, target = [0] * n, [0] * n
     for slot, in_corpus, in_target in counts.collect():  # at most n rows, whatever the input
@@ -126,27 +138,59 @@ def log_ratios(docs: DataFrame, labels: DataFrame, rules: QualityRules = Quality
     ])
 
 
+def _place(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(PLACES)).cast("int")
+
+
+def text_sum(words: DataFrame, ratios: Column, rules: QualityRules = QualityRules()) -> Column:
+    """The sum of ``ratios`` over all trigrams of a row's array ``words``.
+
+    Of the words that share a place, the most frequent one of ``word_counts`` has its sum
+    in a constant array, with its text beside it; every other word is taken apart.
+    """
+    def apart(word: Column) -> Column:
+        add = lambda total, gram: total + F.get(ratios, _slot(gram, rules.buckets))
+        return F.aggregate(_trigrams(F.array(word)), F.lit(0.0), add)
+
+    able = words.filter((F.col("corpus") > 1) & (F.length("word") <= SHORT) & F.is_valid_utf8("word"))
+    best = able.groupBy(_place(F.col("word")).alias("place")).agg(F.max(F.struct("corpus", "word")).alias("best"))
+    names, sums = [""] * PLACES, [0.0] * PLACES
+    for place, name, total in best.select("place", "best.word", apart(F.col("best.word"))).collect():
+        names[place], sums[place] = name, total  # at most PLACES short words
+    known, known_sums = F.split(F.lit(" ".join(names)), " "), constant_array(sums)
+
+    def of_word(word: Column) -> Column:
+        return F.when(F.get(known, _place(word)) == word, F.get(known_sums, _place(word))).otherwise(apart(word))
+
+    return F.aggregate("words", F.lit(0.0), lambda total, word: total + of_word(word))
+
+
 def _covered(grams: Column, width: int) -> Column:
     """Words inside windows that occur twice or more in the text.
 
     Windows are sorted by hash; those with an equal neighbour are put back in text
-    order, and each covers what the next one does not.
+    order, and each covers what the next one does not. A lambda binds the sorted
+    windows: written out at each use, they would be hashed and sorted at each.
     """
     none = F.lit(None).cast("struct<g:bigint,i:int>")
-    placed = F.sort_array(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
-    marked = F.arrays_zip(
-        placed.alias("own"),
-        F.concat(F.array(none), F.slice(placed, F.lit(1), F.size(grams) - 1)).alias("before"),
-        F.slice(placed, F.lit(2), F.size(grams)).alias("after"),  # one short: the last row gets null
-    )
     equal = lambda m, side: F.coalesce(m["own"]["g"] == m[side]["g"], F.lit(False))
-    again = F.filter(marked, lambda m: equal(m, "before") | equal(m, "after"))
-    starts = F.sort_array(F.transform(again, lambda m: m["own"]["i"]))
-    return F.aggregate(
-        starts, F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
-        lambda a, i: F.struct((a["n"] + i + width - F.greatest(a["end"], i)).alias("n"), (i + width).alias("end")),
-        lambda a: a["n"],
-    )
+
+    def covered(placed: Column) -> Column:
+        marked = F.arrays_zip(
+            placed.alias("own"),
+            F.concat(F.array(none), F.slice(placed, F.lit(1), F.size(placed) - 1)).alias("before"),
+            F.slice(placed, F.lit(2), F.size(placed)).alias("after"),  # one short: the last row gets null
+        )
+        again = F.filter(marked, lambda m: equal(m, "before") | equal(m, "after"))
+        starts = F.sort_array(F.transform(again, lambda m: m["own"]["i"]))
+        return F.aggregate(
+            starts, F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
+            lambda a, i: F.struct((a["n"] + i + width - F.greatest(a["end"], i)).alias("n"), (i + width).alias("end")),
+            lambda a: a["n"],
+        )
+
+    placed = F.sort_array(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
+    return F.get(F.transform(F.array(placed), covered), F.lit(0))
 
 
 def rule_figures(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
@@ -179,17 +223,17 @@ def rule_figures(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataF
 def assess(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """One row per document: rule figures, ``score`` (mean log ratio) and ``kept``.
 
-    The input row is carried along as the struct ``doc``. Nothing is shuffled here:
-    the ratios are a constant array of fixed size, looked up by slot.
+    The input row is carried along as the struct ``doc``. No text is shuffled: words are
+    counted, and the ratios and the sums of frequent words are constant arrays.
     """
-    ratios = log_ratios(docs, labels, rules)
+    counts = word_counts(docs, labels, rules)
+    total = text_sum(counts, log_ratios(counts, rules), rules)
     packed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"), whole_text().alias("body"))
-    judged = with_slots(rule_figures(packed.withColumn("words", words_of(F.col("body"))), rules), rules.buckets)
+    judged = rule_figures(packed.withColumn("words", words_of(F.col("body"))), rules)
 
-    add = lambda total, slot: total + F.get(ratios, slot)
-    score = F.aggregate("slots", F.lit(0.0), add) / F.greatest(F.size("slots"), F.lit(1))
+    # A word has as many trigrams as code points.
     return (
-        judged.withColumn("score", score).drop("words", "slots")
+        judged.withColumn("score", total / F.greatest(F.col("word_chars"), F.lit(1))).drop("words")
         .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= rules.threshold))
     )
 
