@@ -6,8 +6,15 @@ subsets, 1: at most one shingle more on one side) satisfy sum(e + 1) > H, some s
 agrees within its threshold (pigeonhole). Every set puts one key per segment into an
 index, plus its one-deletion neighbourhood where e is 1. H depends on the size, so
 sets are dealt to size bands; a set also joins the band below when a partner may be
-there. How many segments take e = 1 is chosen per band from the corpus' own band
-counts: more keys, or more chance meetings. What meets is verified exactly on words.
+there. How many segments take e = 1, or how many are added beyond those needed, is
+chosen per band from the corpus' own band counts: more keys, or more chance meetings.
+What meets is verified exactly on words.
+
+Frequent keys. With segments to spare, linked sets share more keys than one. A set that
+shares more than k keys with any set it is linked with gives up the k keys that most sets
+have, in one order for all sets (prefix filter): the rarest key that two linked sets share
+is then kept by both. That rids nearly all sets of the keys of empty segments, which a
+fixed part of all sets shares, and of those of common passages.
 
 Exactness without all pairs. Equal sets are one node. First every node is verified
 against the node it shares most keys with (the smallest of a bucket), which joins
@@ -26,7 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from math import exp
+from math import exp, lgamma, log
 
 import numpy as np
 import pyarrow as pa
@@ -130,6 +137,19 @@ class Band:
     segments: int
     one_deletion: int
 
+    def spare(self, size: int, spec: JaccardSpec) -> int:
+        """Keys a set of this size shares with every set of the band it is linked with,
+        less one. Segments that do not agree differ in one shingle at least, in two
+        where one deletion is allowed."""
+        partner = size * spec.den // spec.num if size <= self.high else self.high
+        most, exact = spec.max_difference(size + partner), self.segments - self.one_deletion
+        return max(0, self.segments - 1 - min(most, exact) - max(0, most - exact) // 2)
+
+
+def beyond(mean: float, spare: int) -> float:
+    """Expected excess over ``spare`` of a Poisson number."""
+    return mean - spare + sum((spare - k) * exp(k * log(mean) - mean - lgamma(k + 1)) for k in range(spare))
+
 
 def bands(spec: JaccardSpec, sizes: list[tuple[int, int]]) -> list[Band]:
     """Bands over the sizes found, with the cheapest layout for the sets in each.
@@ -145,15 +165,17 @@ def bands(spec: JaccardSpec, sizes: list[tuple[int, int]]) -> list[Band]:
         most = spec.max_difference(high + upper)
         middle = (low + high) / 2
 
-        def cost(ones: int, most: int = most, middle: float = middle, here: int = here) -> float:
-            segments = most + 1 - ones
+        def cost(ones: int, spare: int, most: int = most, middle: float = middle, here: int = here) -> float:
+            segments = most + 1 - ones + spare
             load = middle / segments
-            chance = exp(-2 * load)
-            meetings = here * chance * (segments - ones + ones * (1 + 2 * load))
+            # Empty segments, whose keys meet by chance, beyond those a set gives up.
+            left = max(0.0, beyond(segments * exp(-load), spare)) / segments
+            meetings = here * left * left * (segments - ones + ones * (1 + 2 * load))
             return segments + ones * load + spec.meeting_cost * meetings
 
-        ones = min(range(0, most // 2 + 1, max(1, most // 64)), key=cost, default=0)
-        out.append(Band(low, high, upper, most + 1 - ones, ones))
+        choices = range(0, most // 2 + 1, max(1, most // 64))
+        ones, spare = min([(n, 0) for n in choices] + [(0, n) for n in choices], key=lambda c: cost(*c))
+        out.append(Band(low, high, upper, most + 1 - ones + spare, ones))
         low = high + 1
     return out
 
@@ -185,7 +207,7 @@ def places(size: int, layout: list[Band]) -> list[int]:
 
 
 def index_rows(docs: DataFrame, layout: list[Band], spec: JaccardSpec) -> DataFrame:
-    """(doc_id, digest, band, keys): a row per document and band."""
+    """(doc_id, digest, band, spare, keys): a row per document and band."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,14 +217,30 @@ def index_rows(docs: DataFrame, layout: list[Band], spec: JaccardSpec) -> DataFr
                     tokens = shingle_hashes(text, spec.words)
                     digest = xxhash.xxh128_digest(tokens.tobytes())
                     for at in places(len(tokens), layout):
-                        out.append((doc_id, digest, at, segment_keys(tokens, layout[at], at).view(np.int64)))
-                columns = list(zip(*out)) or [()] * 4
+                        out.append((doc_id, digest, at, layout[at].spare(len(tokens), spec),
+                                    segment_keys(tokens, layout[at], at).view(np.int64)))
+                columns = list(zip(*out)) or [()] * 5
                 yield pa.RecordBatch.from_arrays([
                     pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary()),
-                    pa.array(columns[2], pa.int32()), _lists(columns[3]),
-                ], ["doc_id", "digest", "band", "keys"])
+                    pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int32()), _lists(columns[4]),
+                ], ["doc_id", "digest", "band", "spare", "keys"])
 
-    return docs.mapInArrow(rows, "doc_id bigint, digest binary, band int, keys array<bigint>")
+    return docs.mapInArrow(rows, "doc_id bigint, digest binary, band int, spare int, keys array<bigint>")
+
+
+def meeting_rows(keyed: DataFrame) -> DataFrame:
+    """(key, node) of the index rows that can meet, without the keys that sets give up."""
+    # Copies of a set would only repeat its keys: one row per set and band goes on.
+    firsts = keyed.groupBy("digest", "band").agg(F.min(F.struct("doc_id", "spare", "keys")).alias("first"))
+    entries = firsts.select(
+        F.explode("first.keys").alias("key"), F.col("first.doc_id").alias("node"),
+        F.xxhash64("digest", "band").alias("set"), F.col("first.spare").alias("spare"))
+    bucket = Window.partitionBy("key")
+    shared = entries.withColumn("sets", F.count(F.lit(1)).over(bucket)).filter(F.col("sets") > 1)
+    # The order must be the same for all sets, so equal counts go by key.
+    frequent = Window.partitionBy("node", "set").orderBy(F.desc("sets"), "key")
+    return shared.withColumn("place", F.row_number().over(frequent)).filter(
+        F.col("place") > F.col("spare")).select("key", "node")
 
 
 def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -279,13 +317,10 @@ def link_groups(docs: DataFrame, spec: JaccardSpec = JaccardSpec()) -> DataFrame
     sizes = [(r["c"], r["count"]) for r in classes.groupBy(size_class.alias("c")).count().collect()]
     layout = bands(spec, sizes)  # classes are logarithmic: a few hundred rows at most
 
-    # Copies of a set would only repeat its keys: one row per set and band goes on.
     keyed = index_rows(bodies.filter(F.col("doc_id").isNotNull()), layout, spec)
-    firsts = keyed.groupBy("digest", "band").agg(F.min(F.struct("doc_id", "keys")).alias("first"))
-    entries = firsts.select(F.explode("first.keys").alias("key"), F.col("first.doc_id").alias("node"))
     bucket = Window.partitionBy("key")
     members = written(
-        entries.withColumn("first", F.min("node").over(bucket)).withColumn("last", F.max("node").over(bucket))
+        meeting_rows(keyed).withColumn("first", F.min("node").over(bucket)).withColumn("last", F.max("node").over(bucket))
         .filter(F.col("first") < F.col("last")).select("key", "node", "first"), "buckets")
 
     # Round one: each node with the bucket head it meets most often, if more than once.
