@@ -28,7 +28,7 @@ from caselake.operators.features import (
     with_terms,
 )
 from caselake.operators.metrics import macro_f1, mean_ci
-from caselake.operators.softmax import minimum, objective
+from caselake.operators.softmax import minimum, objective, start
 from caselake.operators.splits import FOLDS, REPEATS, SEED, stratified_rows, with_folds
 from caselake.session import bounded, written
 
@@ -42,6 +42,9 @@ GRADIENT_BOUND = 1e-4
 # Part of the mean gradient below which the optimiser stops.
 TOLERANCE = GRADIENT_BOUND / 100
 
+# The same where it only looks for a start, over a part of the rows.
+START_TOLERANCE = 10 * TOLERANCE
+
 
 @dataclass(frozen=True)
 class TextModelSpec:
@@ -126,19 +129,22 @@ def _minimised(
     has the same value in all rows the coefficient 0; the others are then fitted to that.
     """
     at = objective(vectors, classes, features, penalty)
-    theta = minimum(at, np.zeros((features + 1, classes)), max_iter, TOLERANCE)
-    regression = _held(vectors, theta, penalty)
-    none = (regression.coefficientMatrix.toArray().T == 0) & (theta[:-1] != 0)
-    if not none.any():
-        return regression
-
-    def without(theta: np.ndarray) -> tuple[float, np.ndarray]:
-        value, gradient = at(theta)
-        gradient[:-1][none] = 0.0
-        return value, gradient
-
-    theta[:-1][none] = 0.0
-    return _held(vectors, minimum(without, theta, max_iter, TOLERANCE), penalty)
+    try:
+        theta = minimum(at, start(at, max_iter, START_TOLERANCE), max_iter, TOLERANCE)
+        regression = _held(vectors, theta, penalty)
+        none = (regression.coefficientMatrix.toArray().T == 0) & (theta[:-1] != 0)
+        if not none.any():
+            return regression
+
+        def without(theta: np.ndarray) -> tuple[float, np.ndarray]:
+            value, gradient = at(theta)
+            gradient[:-1][none] = 0.0
+            return value, gradient
+
+        theta[:-1][none] = 0.0
+        return _held(vectors, minimum(without, theta, max_iter, TOLERANCE), penalty)
+    finally:
+        at.release()
 
 
 def _held(vectors: DataFrame, theta: np.ndarray, penalty: float) -> LogisticRegressionModel:

@@ -5,32 +5,41 @@ rows give an objective that is well conditioned so; divided by each term's devia
 Spark ML's optimiser has it, rare terms weigh like frequent ones and a thousand steps
 are not enough.
 
-Rows are packed once into blocks of at most ``BLOCK`` entries. Each step reads the blocks
-in at most one task per core; a task holds one Arrow batch of them and one sum per
-coefficient, and only those sums reach the driver, which holds the model and the last
-``MEMORY`` steps.
+Rows are packed once into blocks of at most ``BLOCK`` entries, which stay serialized on the
+executors' disks. Each step reads them in at most one task per core; a task holds one block
+and one sum per coefficient, and only those sums reach the driver, which holds the model and
+the last steps.
+
+Of many rows, first a part finds the place to start from. Where the steps end is decided by
+the gradient over all rows alone.
 """
 
 from __future__ import annotations
 
 from collections import deque
 from collections.abc import Callable, Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caselake.session import written
-
 # Entries of a block, and of the least work worth a task of its own.
 BLOCK = 1 << 16
 PER_TASK = 1 << 20
 
-# Steps that the optimiser remembers, halvings of one step at most, and the share of the
-# slope by which a step must lower the objective.
+# Of how many rows one is taken for a start, in turn, and the least entries taken.
+SHARES = (64, 8)
+LEAST_PART = 32 * BLOCK
+
+# Steps that the optimiser remembers at least, more where they fit into so many bytes;
+# halvings of one step at most, and the share of the slope by which a step must lower the
+# objective.
 MEMORY = 10
+MEMORY_BYTES = 48 << 20
 HALVINGS = 30
 DESCENT = 1e-4
 
@@ -82,42 +91,68 @@ def block_sums(block: dict[str, np.ndarray], theta: np.ndarray, sums: np.ndarray
     return loss
 
 
-def objective(
-    vectors: DataFrame, classes: int, features: int, penalty: float
-) -> Callable[[np.ndarray], tuple[float, np.ndarray]]:
-    """Penalised mean loss and its gradient, by one job over the packed ``vectors``
-    (features, _label, weight) for each call."""
-    spark = vectors.sparkSession
-    vector = F.unwrap_udt("features")
-    blocks = written(
-        vectors.select(F.col("_label").cast("int").alias("own"), "weight",
-                       vector["indices"].alias("at"), vector["values"].alias("x"))
-        .mapInArrow(pack, ", ".join(f"{name} binary" for name in PARTS)), "blocks",
-    )
-    counts = vectors.agg(F.sum("weight").alias("weight"), F.sum(F.size(vector["indices"])).alias("entries")).first()
-    total = counts["weight"]
-    tasks = min(spark.sparkContext.defaultParallelism, 1 + counts["entries"] // PER_TASK)
-    dealt = blocks.coalesce(tasks)
+class Objective:
+    """Penalised mean loss and its gradient, by one job over packed rows for each call.
+
+    ``blocks`` are kept on the executors' disks; a lost one is packed again.
+    """
+
+    def __init__(self, blocks: RDD, classes: int, features: int, penalty: float, entries: int, total: float):
+        self.blocks, self.entries, self.total = blocks.persist(StorageLevel.DISK_ONLY), entries, total
+        self.classes, self.features, self.penalty = classes, features, penalty
 
-    def at(theta: np.ndarray) -> tuple[float, np.ndarray]:
-        shared = spark.sparkContext.broadcast(theta)
+    def __call__(self, theta: np.ndarray) -> tuple[float, np.ndarray]:
+        shared = self.blocks.context.broadcast(theta)
 
-        def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def add_up(blocks: Iterator[dict[str, bytes]]) -> Iterator[tuple[float, bytes]]:
             here, loss = shared.value, 0.0
             sums = np.zeros_like(here)
-            for batch in batches:
-                for i in range(batch.num_rows):
-                    block = {name: np.frombuffer(batch.column(name)[i].as_buffer(), kind) for name, kind in PARTS.items()}
-                    loss += block_sums(block, here, sums)
-            yield pa.RecordBatch.from_pydict({"loss": [loss], "sums": [sums.tobytes()]})
+            for block in blocks:
+                loss += block_sums({name: np.frombuffer(block[name], kind) for name, kind in PARTS.items()}, here, sums)
+            yield loss, sums.tobytes()
 
-        parts = dealt.mapInArrow(add_up, "loss double, sums binary").collect()  # one row a task
+        parts = self.blocks.mapPartitions(add_up).collect()  # one row a task
         shared.destroy()
-        gradient = sum(np.frombuffer(part["sums"]) for part in parts).reshape(theta.shape) / total
-        gradient[:-1] += penalty * theta[:-1]
-        return sum(part["loss"] for part in parts) / total + penalty / 2 * float((theta[:-1] ** 2).sum()), gradient
+        gradient = sum(np.frombuffer(sums) for _, sums in parts).reshape(theta.shape) / self.total
+        gradient[:-1] += self.penalty * theta[:-1]
+        return sum(loss for loss, _ in parts) / self.total + self.penalty / 2 * float((theta[:-1] ** 2).sum()), gradient
 
-    return at
+    def part(self, share: int) -> Objective:
+        """The same over about one block of ``share``, told by its content."""
+        blocks = self.blocks.filter(lambda block: crc32(block["at"]) % share == 0)
+        some = Objective(blocks, self.classes, self.features, self.penalty, self.entries // share, 1.0)
+        some.total = some.blocks.map(lambda block: float(np.frombuffer(block["weight"]).sum())).sum()
+        return some
+
+    def release(self) -> None:
+        self.blocks.unpersist()
+
+
+def objective(vectors: DataFrame, classes: int, features: int, penalty: float) -> Objective:
+    """The objective over ``vectors`` (features, _label, weight)."""
+    vector = F.unwrap_udt("features")
+    counts = vectors.agg(F.sum("weight").alias("weight"), F.sum(F.size(vector["indices"])).alias("entries")).first()
+    tasks = min(vectors.sparkSession.sparkContext.defaultParallelism, 1 + counts["entries"] // PER_TASK)
+    packed = (
+        vectors.coalesce(tasks)
+        .select(F.col("_label").cast("int").alias("own"), "weight", vector["indices"].alias("at"), vector["values"].alias("x"))
+        .mapInArrow(pack, ", ".join(f"{name} binary" for name in PARTS))
+    )
+    blocks = packed.rdd.map(lambda row: {name: bytes(row[name]) for name in PARTS})
+    return Objective(blocks, classes, features, penalty, counts["entries"], counts["weight"])
+
+
+def start(at: Objective, max_iter: int, tolerance: float) -> np.ndarray:
+    """Where to begin on all rows: the least of the objective over a part of them, found from
+    that over a smaller part. Few rows are begun at 0."""
+    theta = np.zeros((at.features + 1, at.classes))
+    for share in SHARES:
+        if at.entries >= share * LEAST_PART:
+            some = at.part(share)
+            if some.total:
+                theta = minimum(some, theta, max_iter, tolerance)
+            some.release()
+    return theta
 
 
 def _direction(gradient: np.ndarray, steps: deque) -> np.ndarray:
@@ -140,7 +175,7 @@ def minimum(
     """Where the gradient of ``at`` has no part above ``tolerance``, or the place after
     ``max_iter`` steps, or after the last step that still lowers the objective."""
     value, gradient = at(theta)
-    steps: deque = deque(maxlen=MEMORY)
+    steps: deque = deque(maxlen=max(MEMORY, MEMORY_BYTES // (2 * theta.nbytes)))
     for _ in range(max_iter):
         if np.abs(gradient).max() <= tolerance:
             break

@@ -54,3 +54,30 @@ def test_a_feature_that_never_varies_has_no_coefficient(spark):
     held = np.vstack([model.coefficientMatrix.toArray().T, model.interceptVector.toArray()])
     gradient = softmax.objective(vectors, 2, 3, 1 / 40)(held)[1]
     assert np.abs(gradient[1:]).max() <= 2e-6
+
+
+def test_a_start_from_a_part_saves_passes_over_all_rows(spark, monkeypatch):
+    """The least of the objective stays the same, and nothing stays on the executors' disks."""
+    monkeypatch.setattr(softmax, "BLOCK", 400)
+    monkeypatch.setattr(softmax, "LEAST_PART", 400)
+    rng = np.random.default_rng(11)
+    x = (rng.random((3000, 30)) < 0.2) * rng.random((3000, 30)) * 4.0 ** -rng.integers(0, 5, 30)
+    own = (x @ rng.normal(size=(30, 3)) * 4 + rng.normal(size=(3000, 3))).argmax(1)
+    rows = [(Vectors.sparse(30, [(int(j), float(r[j])) for j in r.nonzero()[0]]), float(k), 1.0) for r, k in zip(x, own)]
+    vectors = spark.createDataFrame(rows, ["features", "_label", "weight"]).repartition(3)
+    at = softmax.objective(vectors, 3, 30, 1 / 3000)
+    calls = []
+
+    def counted(theta):
+        calls.append(0)
+        return at(theta)
+
+    zero = softmax.minimum(counted, np.zeros((31, 3)), 500, 1e-6)
+    passes, calls = len(calls), []
+    some = softmax.start(at, 500, 1e-5)
+    assert some.any()
+    theta = softmax.minimum(counted, some, 500, 1e-6)
+    assert 0 < len(calls) < passes
+    assert np.abs(at(theta)[1]).max() <= 1e-6 and at(theta)[0] == pytest.approx(at(zero)[0], abs=1e-7)
+    at.release()
+    assert not at.blocks.is_cached
